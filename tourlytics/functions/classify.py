@@ -391,7 +391,8 @@ def engagement_tier(total_score: Column) -> Column:
 
 
 def journey_quality(avg_quality: Column) -> Column:
-    return at_least(avg_quality, QUALITY_LEVELS, "low_quality")
+    # Rounded first: a mean of 0.9 must not miss its bound by the order of a floating-point sum.
+    return at_least(F.round(avg_quality, 6), QUALITY_LEVELS, "low_quality")
 
 
 def bounce_classification(events: Column, minutes: Column) -> Column:

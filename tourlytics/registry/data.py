@@ -15,7 +15,7 @@ from ..operators.sequencing import build_web_events, score_events
 from ..plans.events import fact_from_web_events, stage_events
 from ..sources.event_table import source_events
 from ..sources.tables import write_events
-from ..session import working_path
+from ..session import DEFAULTS, working_path
 
 AS_OF = "2024-01-31 00:00:00"
 THEN = "2024-01-30 00:00:00"
@@ -23,17 +23,39 @@ THEN = "2024-01-30 00:00:00"
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def written(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def written_path(
+    spark: SparkSession, folder: str, name: str, write: Callable[[str], None]
+) -> str:
+    """Where ``write`` has put its output; it runs once per application and data folder."""
+    prepare(spark)
     key = (spark.sparkContext.applicationId, folder, name)
     if key not in _written:
         path = working_path(spark, name)
-        write_events(build(), path)
+        write(path)
         _written[key] = path
-    return spark.read.parquet(_written[key])
+    return _written[key]
+
+
+def written(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def write(path: str) -> None:
+        write_events(build(), path)
+
+    return spark.read.parquet(written_path(spark, folder, name, write))
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings the results depend on, for a session that was not built here."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+        spark.conf.set(key, DEFAULTS[key])
+
+
+def source(spark: SparkSession, folder: str) -> DataFrame:
+    prepare(spark)
+    return source_events(spark, folder)
 
 
 def valid(spark: SparkSession, folder: str) -> DataFrame:
-    return valid_events(source_events(spark, folder), allow_user_id=True)
+    return valid_events(source(spark, folder), allow_user_id=True)
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:

@@ -225,7 +225,7 @@ def day(column: str, alias: str | None = None) -> str:
 
 
 def rnd(expr: str, alias: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
+    return f"round(CAST({expr} AS DOUBLE), 8) AS {alias}"
 
 
 def big(expr: str, alias: str) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 def plain(df: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Times and dates as text, whole numbers as bigint, doubles to 6 places, arrays joined.
+    """Times and dates as text, whole numbers as bigint, doubles to 8 places, arrays joined.
 
     The viewer direction becomes three columns.
     """
@@ -26,7 +26,7 @@ def plain(df: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
         elif isinstance(kind, (T.IntegerType, T.ShortType)):
             out.append(column.cast("bigint").alias(name))
         elif isinstance(kind, (T.DoubleType, T.FloatType)):
-            out.append(F.round(column, 6).alias(name))
+            out.append(F.round(column, 8).alias(name))
         elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
             out.append(F.array_join(F.array_sort(column), ",").alias(name))
         else:

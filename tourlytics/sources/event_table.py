@@ -14,12 +14,8 @@ HOUR_MICROS = 3_600_000_000
 
 
 def _pick(index: Column, *values) -> Column:
-    """The value at ``index``; NULL for None or past the end."""
-    chosen = F.lit(None).cast("string")
-    for at, value in enumerate(values):
-        if value is not None:
-            chosen = F.when(index == at, F.lit(value)).otherwise(chosen)
-    return chosen
+    """The value at ``index`` of a constant array; NULL past the end."""
+    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), index.cast("int"))
 
 
 def _unless(condition: Column, value: Column) -> Column:
@@ -28,7 +24,6 @@ def _unless(condition: Column, value: Column) -> Column:
 
 def source_events(spark: SparkSession, folder: str) -> DataFrame:
     """Typed, not yet enriched events of the model, one per row of ``events``."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return model_events(spark.read.parquet(f"{folder}/events.parquet"))
 
 

@@ -69,10 +69,10 @@ def write_events(
     )
 
 
-def write_staging_jsonl(df: DataFrame, path: str) -> None:
+def write_staging_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
     """JSON lines, one folder per day and space type; an unknown space type is written as such."""
     named = df.withColumn("space_type", F.coalesce("space_type", F.lit("unknown")))
-    clustered(named, EVENT_PARTITIONS, ()).write.mode("append").partitionBy(
+    clustered(named, EVENT_PARTITIONS, ()).write.mode(mode).partitionBy(
         *EVENT_PARTITIONS
     ).json(path)
 
