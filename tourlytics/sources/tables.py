@@ -224,6 +224,9 @@ def compact_partitions(
         .withColumn("_parts", F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int"))
         .drop("files", "bytes")
     )
+    files = sizes.agg(F.sum("_parts")).first()[0]
+    if files is None:
+        return
     rows = spark.read.parquet(path)
     old = (
         rows.where(F.col(day) >= date_at(since))
@@ -231,7 +234,7 @@ def compact_partitions(
         .withColumn("_part", F.pmod(F.xxhash64(spread_by), F.col("_parts")))
     )
     (
-        old.repartition(*partitions, "_part")
+        old.repartition(files, *partitions, "_part")
         .drop("_parts", "_part")
         .select(*rows.columns)
         .write.mode("overwrite")
