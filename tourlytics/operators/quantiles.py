@@ -32,6 +32,9 @@ def grouped_quantiles(
         .groupBy(*keys, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", F.floor(F.col("_v") / F.lit(float(width))))
+        # Stated here, as the join below implies it for one side only: the two uses of these counts
+        # then have the same plan, and the shuffle behind them runs once.
+        .where(F.col("_bucket").isNotNull())
     )
     group = Window.partitionBy(*keys)
     buckets = (

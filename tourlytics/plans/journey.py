@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..functions.rules import count_if, percent
 from ..operators.filters import date_at, since_days
-from ..operators.quantiles import join_groups
 
 SEGMENT_KEYS = [
     "analysis_date",
@@ -129,10 +128,13 @@ def journey_segments(classified: DataFrame, min_quality: float = 0.5) -> DataFra
     kept = classified.where(F.col("min_data_quality_score") >= min_quality)
     bounce, intent = F.col("bounce_classification"), F.col("conversion_intent_level")
     share = F.col("space_context_events").cast("double") / F.col("total_events").cast("double")
-    segments = kept.groupBy(*SEGMENT_KEYS).agg(
+    return kept.groupBy(*SEGMENT_KEYS).agg(
         F.count(F.lit(1)).alias("session_count"),
         F.count_distinct("anonymous_id").alias("unique_users"),
         F.avg("session_duration_minutes").alias("avg_session_duration_minutes"),
+        # A daily session lasts a whole number of seconds of one day, so the exact percentile counts at
+        # most 86,400 different values per segment, whatever the number of sessions.
+        F.percentile("session_duration_minutes", 0.5).alias("median_session_duration_minutes"),
         F.avg("total_events").alias("avg_events_per_session"),
         F.avg("unique_spaces_viewed").alias("avg_spaces_per_session"),
         F.avg("total_engagement_score").alias("avg_engagement_score"),
@@ -151,22 +153,6 @@ def journey_segments(classified: DataFrame, min_quality: float = 0.5) -> DataFra
         F.avg("avg_data_quality_score").alias("avg_session_quality_score"),
         count_if(F.col("journey_quality") == "high_quality").alias("high_quality_sessions"),
     )
-    # Durations are whole seconds of one day, so counting equal values bounds each segment.
-    median = duration_median(kept)
-    return join_groups(segments, median, SEGMENT_KEYS)
-
-
-def duration_median(sessions: DataFrame) -> DataFrame:
-    """Exact median of the session duration per segment.
-
-    A session lies inside one day here, so a segment has at most 86,400 different durations: counted
-    values fit one buffer, whatever the number of sessions.
-    """
-    counted = sessions.groupBy(*SEGMENT_KEYS, "session_duration_minutes").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    middle = F.percentile("session_duration_minutes", 0.5, F.col("_n"))
-    return counted.groupBy(*SEGMENT_KEYS).agg(middle.alias("median_session_duration_minutes"))
 
 
 def _rates() -> dict[str, Column]:

@@ -21,6 +21,7 @@ STEMS = {
     "core_tour_events": "core_events",
     "avg_data_quality": "quality",
 }
+KEYS = ["event_date", "space_type"]
 PERCENT_STEMS = ["events", "sessions", "engagement"]
 SUMMED = ["events", "sessions", "users", "core_events"]
 FLAGS = [
@@ -52,9 +53,60 @@ def snapshot_compare(current: DataFrame, historical: DataFrame) -> DataFrame:
 
     Both sides are aggregates, so the join is small; NULL keys never match.
     """
-    keys = ["event_date", "space_type"]
-    now = current.select(*keys, *[F.col(m).alias(f"current_{s}") for m, s in STEMS.items()])
-    then = historical.select(*keys, *[F.col(m).alias(f"_h_{s}") for m, s in STEMS.items()])
+    now = current.select(*KEYS, *[F.col(m).alias(f"current_{s}") for m, s in STEMS.items()])
+    then = historical.select(*KEYS, *[F.col(m).alias(f"_h_{s}") for m, s in STEMS.items()])
+    return _changes(now.join(then, KEYS, "left"))
+
+
+def snapshot_pair(
+    fact: DataFrame, as_of, then, days: int = 7, system_time: str = "processed_timestamp"
+) -> DataFrame:
+    """Measures now and at ``then`` side by side, from one scan of an append-only fact.
+
+    Events collapse to one row per session and visitor first, with sums for both moments; the distinct
+    counts then run over those rows. A row without a space type has no history, as a NULL key never
+    matches in the join of two snapshots.
+    """
+    seen = F.col(system_time) <= timestamp_at(then)
+    values = {
+        "engagement": F.col("engagement_score"),
+        "time_on_page": F.col("time_on_page_seconds"),
+        "quality": F.col("data_quality_score"),
+    }
+    parts = []
+    for side, inside in (("current", F.lit(True)), ("_h", seen)):
+        parts.append(count_if(inside).alias(f"{side}_events"))
+        parts.append(count_if(inside & F.col("is_core_virtual_tour_event")).alias(f"{side}_core_events"))
+        for stem, value in values.items():
+            parts.append(F.sum(F.when(inside, value)).alias(f"{side}_{stem}_sum"))
+            parts.append(F.count(F.when(inside, value)).alias(f"{side}_{stem}_n"))
+    sessions = (
+        since_days(fact, as_of, days).groupBy(*KEYS, "session_id", "anonymous_id").agg(*parts)
+    )
+    folded = []
+    for side in ("current", "_h"):
+        present = F.col(f"{side}_events") > 0
+        folded += [
+            F.sum(f"{side}_events").alias(f"{side}_events"),
+            F.sum(f"{side}_core_events").alias(f"{side}_core_events"),
+            F.count_distinct(F.when(present, F.col("session_id"))).alias(f"{side}_sessions"),
+            F.count_distinct(F.when(present, F.col("anonymous_id"))).alias(f"{side}_users"),
+        ]
+        folded += [
+            F.try_divide(
+                F.sum(f"{side}_{stem}_sum").cast("double"), F.sum(f"{side}_{stem}_n").cast("double")
+            ).alias(f"{side}_{stem}")
+            for stem in values
+        ]
+    known = F.col("space_type").isNotNull() & (F.col("_h_events") > 0)
+    return (
+        sessions.groupBy(*KEYS)
+        .agg(*folded)
+        .withColumns({f"_h_{s}": F.when(known, F.col(f"_h_{s}")) for s in STEMS.values()})
+    )
+
+
+def _changes(paired: DataFrame) -> DataFrame:
     columns: dict[str, Column] = {}
     for stem in STEMS.values():
         was = F.coalesce(F.col(f"_h_{stem}"), F.lit(0))
@@ -64,8 +116,7 @@ def snapshot_compare(current: DataFrame, historical: DataFrame) -> DataFrame:
         was = F.col(f"_h_{stem}")
         change = percent(F.col(f"current_{stem}") - was, was)
         columns[f"{stem}_change_pct"] = F.when(was > 0, change)
-    compared = now.join(then, keys, "left").withColumns(columns)
-    flagged = compared.withColumns(
+    flagged = paired.withColumns(columns).withColumns(
         {
             "events_variance_flag": classify.variance_flag(F.col("events_change_pct")),
             "engagement_variance_flag": classify.variance_flag(
@@ -80,26 +131,39 @@ def snapshot_compare(current: DataFrame, historical: DataFrame) -> DataFrame:
     return conform(flagged, SNAPSHOT_ANALYSIS)
 
 
-def snapshot_summary(compared: DataFrame) -> DataFrame:
-    """One row per day over all space types; a visitor of two space types counts twice."""
+def _folds() -> list[Column]:
     measures = []
     for stem in STEMS.values():
         fold = F.sum if stem in SUMMED else F.avg
         for name in (f"current_{stem}", f"historical_{stem}", f"{stem}_change"):
             measures.append(fold(name).alias(name))
-    summary = compared.groupBy("event_date").agg(*measures)
-    rates = {
+    return measures
+
+
+def snapshot_summary(compared: DataFrame) -> DataFrame:
+    """One row per day over all space types; a visitor of two space types counts twice."""
+    summary = compared.groupBy("event_date").agg(*_folds())
+    return conform(summary.withColumns(_summary_values()), SNAPSHOT_ANALYSIS)
+
+
+def _summary_rates() -> dict[str, Column]:
+    return {
         f"{stem}_change_pct": F.when(
             F.col(f"historical_{stem}") > 0,
             percent(F.col(f"{stem}_change"), F.col(f"historical_{stem}")),
         )
         for stem in ("events", "sessions")
     }
-    labels = {flag: F.lit("summary") for flag in FLAGS}
-    return conform(
-        summary.withColumns({"space_type": F.lit("all_spaces"), **rates, **labels}),
-        SNAPSHOT_ANALYSIS,
-    )
+
+
+def _summary_values() -> dict[str, Column]:
+    """Columns of a summary row that are not folds of the details."""
+    return {
+        "space_type": F.lit("all_spaces"),
+        **_summary_rates(),
+        "engagement_change_pct": F.lit(None).cast("double"),
+        **{flag: F.lit("summary") for flag in FLAGS},
+    }
 
 
 def time_travel_analysis(
@@ -107,16 +171,35 @@ def time_travel_analysis(
 ) -> DataFrame:
     """Details and daily summary, newest day first.
 
-    ``historical`` is the earlier snapshot where a table format offers one; else the fact is cut at
-    ``then`` by its processing time.
+    ``historical`` is the earlier snapshot where a table format offers one; else both moments come
+    from one scan of the fact, cut at ``then`` by its processing time.
     """
-    past = historical if historical is not None else as_of_time(fact, then)
-    compared = snapshot_compare(
-        snapshot_metrics(fact, as_of, days), snapshot_metrics(past, as_of, days)
-    )
-    return compared.unionByName(snapshot_summary(compared)).orderBy(
-        F.desc("event_date"), "space_type"
+    if historical is None:
+        compared = _changes(snapshot_pair(fact, as_of, then, days))
+    else:
+        compared = snapshot_compare(
+            snapshot_metrics(fact, as_of, days), snapshot_metrics(historical, as_of, days)
+        )
+    return _with_summary(compared).orderBy(F.desc("event_date"), "space_type")
+
+
+def _with_summary(compared: DataFrame) -> DataFrame:
+    """Details and summary rows from one evaluation of the details.
+
+    Each detail row is emitted for its own level and for the level of its day, then folded: a detail
+    level holds one row, which a sum or mean leaves as it is.
+    """
+    levels = compared.withColumn("_day", F.explode(F.array(F.lit(False), F.lit(True))))
+    own = F.when(~F.col("_day"), F.col("space_type")).alias("space_type")
+    kept = [*FLAGS, *[f"{stem}_change_pct" for stem in PERCENT_STEMS]]
+    folded = levels.groupBy("event_date", "_day", own).agg(
+        *_folds(), *[F.max(name).alias(name) for name in kept]
     )
+    chosen = {
+        name: F.when(F.col("_day"), value).otherwise(F.col(name))
+        for name, value in _summary_values().items()
+    }
+    return conform(folded.withColumns(chosen), SNAPSHOT_ANALYSIS)
 
 
 def snapshot_growth(events: DataFrame, day, then, system_time: str = "processed_timestamp") -> DataFrame:

@@ -18,7 +18,7 @@ NO_DATA = "no_data"
 NOT_AN_OBJECT = "not_an_object"
 EMPTY_DOCUMENT = "empty_document"
 
-DECODED = ["payload", "sequence_number", "partition_key", "error"]
+RECORD = "kinesis struct<data string, sequenceNumber string, partitionKey string>"
 
 
 def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -60,27 +60,25 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     line = F.trim("value")
     heads = lines.where(F.col("value").isNotNull() & (line != "")).select(
         line.alias("line"),
-        F.get_json_object(line, "$.Records").alias("_records"),
+        # Elements stay text, so that one element of a wrong kind does not spoil the list.
+        F.from_json(line, "Records array<string>")["Records"].alias("_records"),
     )
-    # Elements stay text, so that one element of a wrong kind does not spoil the list.
-    elements = F.from_json("_records", "array<string>")
-    enveloped = F.col("_records").startswith("[")
+    enveloped = F.col("_records").isNotNull()
     quoted = F.from_json(F.concat(F.lit("["), F.col("line"), F.lit("]")), "array<string>")[0]
     spread = heads.select(
         "line",
-        F.coalesce(enveloped, F.lit(False)).alias("_wrapped"),
-        F.explode_outer(F.when(enveloped, elements)).alias("_record"),
+        enveloped.alias("_wrapped"),
+        F.explode_outer("_records").alias("_record"),
     ).where(~F.col("_wrapped") | F.col("_record").isNotNull())
+    spread = spread.withColumn("_head", F.from_json("_record", RECORD)["kinesis"])
 
     text_line = ~F.col("_wrapped") & F.col("line").startswith('"')
-    data = F.when(F.col("_wrapped"), F.get_json_object("_record", "$.kinesis.data")).when(
-        text_line, quoted
-    )
+    data = F.when(F.col("_wrapped"), F.col("_head.data")).when(text_line, quoted)
     decoded, undecoded = _from_base64(data)
     staged = spread.select(
         "_wrapped",
-        F.get_json_object("_record", "$.kinesis.sequenceNumber").alias("sequence_number"),
-        F.get_json_object("_record", "$.kinesis.partitionKey").alias("partition_key"),
+        F.col("_head.sequenceNumber").alias("sequence_number"),
+        F.col("_head.partitionKey").alias("partition_key"),
         F.when(F.col("_wrapped") | text_line, decoded).otherwise(F.col("line")).alias("payload"),
         first_of(
             [

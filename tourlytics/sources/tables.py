@@ -12,6 +12,8 @@ from ..schemas import PARTITIONS
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 EVENT_PARTITIONS = PARTITIONS["web_events"]
+BROADCAST_KEYS = 1_000_000  # keys of at most some 100 bytes: 100 MB
+PRUNED_DAYS = 1000  # days listed in a partition filter; more are read without it
 
 
 # ---- Scans ------------------------------------------------------------------------------------
@@ -140,18 +142,27 @@ def append_new(
     partitions: Sequence[str] = tuple(EVENT_PARTITIONS),
     day: str | None = "event_date",
 ) -> None:
-    """Insert-only merge into a table on storage.
+    """Insert-only merge of a batch (best persisted) into a table on storage.
 
-    Where the key fixes the day of the row (it holds the event time), only the days that occur in
-    the batch are read from the target: the join on the day prunes partitions at run time.
+    ``day`` names the partition column that the key fixes, as an id that holds the event time fixes
+    its day; then only the days of the batch are read from the target. Pass None if it does not.
+    The keys of a batch of at most ``BROADCAST_KEYS`` rows are sent to the target's tasks, so that
+    the target is not shuffled; a larger batch is joined by shuffling both key sets.
     """
+    unique = latest_per_key(batch, key, _recency(batch))
     if not table_exists(spark, path):
-        write_events(latest_per_key(batch, key, _recency(batch)), path, partitions)
+        write_events(unique, path, partitions)
         return
-    target = spark.read.parquet(path)
-    on = [key, day] if day else [key]
-    unique = latest_per_key(batch, key, _recency(batch))
-    known = target.select(*on).join(unique.select(*on), on, "left_semi").distinct()
+    target, on = spark.read.parquet(path), [key]
+    if day:
+        on = [key, day]
+        days = [r[0] for r in batch.select(day).distinct().limit(PRUNED_DAYS + 1).collect()]
+        if len(days) <= PRUNED_DAYS:
+            target = target.where(F.col(day).isin(days))
+    wanted = batch.select(*on).distinct()
+    if batch.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    known = target.select(*on).join(wanted, on, "left_semi").distinct()
     write_events(unique.join(known, on, "left_anti"), path, partitions)
 
 
