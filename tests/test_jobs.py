@@ -28,7 +28,7 @@ def test_from_lines_to_report(spark, tmp_path):
     write_lines(tmp_path / "lines")
     tables = Tables(str(tmp_path / "tables"))
     processed = F.lit("2024-01-15 12:00:00").cast("timestamp")
-    load_history(spark, str(tmp_path / "lines"), tables, slice_seconds=60, ingest_time=processed)
+    load_history(spark, str(tmp_path / "lines"), tables, ingest_time=processed)
     events = tables.read(spark, "web_events")
     assert events.count() == 96 and set(events.columns) == set(WEB_EVENTS_ENRICHED.names)
     assert tables.read(spark, "rejected_records").count() == 1

@@ -235,3 +235,14 @@ def test_edge_enrichment(spark):
     assert [r["data_quality_score"] for r in rows] == [1.0, 0.8]
     assert [r["is_bot"] for r in rows] == [False, True]
     assert all(r["has_space_context"] and r["is_virtual_tour_page"] for r in rows)
+
+
+def test_single_records_of_a_stream_source(spark):
+    from tourlytics.sources.raw import decode_records
+
+    rows = [(b64(json.dumps(FLAT)), "1", "k"), ("%%%", "2", "k"), (None, "3", "k"), (b64("x"), "4", "k")]
+    df = spark.createDataFrame(rows, "data string, sequence_number string, partition_key string")
+    found = {r["sequence_number"]: r["error"] for r in decode_records(df).collect()}
+    assert found == {"1": None, "2": "bad_base64", "3": "no_data", "4": "bad_json"}
+    event = normalize_event(decode_records(df.limit(1)), "stream").first()
+    assert event["event_id"] == f"19b0a5fb_{MILLIS}_1"

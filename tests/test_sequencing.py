@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tourlytics.operators import session_metrics as sm
 from tourlytics.operators.sequencing import (
+    choose_slice_seconds,
     sequence_gaps,
     sequence_sessions,
     session_boundaries,
@@ -134,3 +135,14 @@ def test_long_lists_stay_exact_as_counts(spark):
     row = sm.session_metrics_v1(session_rows(spark), list_limit=9).first()
     assert row["space_types_viewed"] is None
     assert [(c["space_type"], c["events"]) for c in row["space_type_counts"]] == [("amenity", 5), ("unit", 5)]
+
+
+def test_slice_width_from_the_data(spark):
+    df = skewed_events(spark)
+    assert choose_slice_seconds(df, max_rows=1000) == 3600
+    narrow = choose_slice_seconds(df, max_rows=8)
+    assert narrow < 3600
+    assert choose_slice_seconds(df, max_rows=0) == 1
+    same = session_positions(df, narrow).where("session_id is not null")
+    expected = sorted(plain_windows(df).collect())
+    assert sorted(same.select("event_id", "_rank", "_total", "_prev", "_next").collect()) == expected

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.filters import valid_events
-from .operators.sequencing import SLICE_SECONDS, build_web_events
+from .operators.sequencing import build_web_events, choose_slice_seconds
 from .operators.session_metrics import session_metrics_v2, session_metrics_v3
 from .plans.events import fact_from_web_events
 from .plans.journey import daily_report, user_journey_analysis
@@ -49,12 +49,13 @@ def load_history(
     lines_path: str,
     tables: Tables,
     quality: str = "tiered_v2",
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: int | None = None,
     ingest_time: Column | None = None,
 ) -> None:
     """Archived lines to ``web_events`` and ``session_metrics``; rejects go to ``rejected_records``.
 
     Input is decoded once, into ``landed_events`` with its rejects, and everything else reads that.
+    The slice width of the session windows is found from the data unless it is given.
     """
     decoded = decode_lines(read_raw_lines(spark, lines_path))
     landed = normalize_event(decoded, "batch", ingest_time)
@@ -63,7 +64,8 @@ def load_history(
 
     write_mart(table.where(F.col("error").isNotNull()), tables.path("rejected_records"))
     valid = valid_events(table.where(F.col("error").isNull()).drop("error"), allow_user_id=True)
-    clean = build_web_events(valid, quality, slice_seconds=slice_seconds)
+    width = slice_seconds or choose_slice_seconds(valid)
+    clean = build_web_events(valid, quality, slice_seconds=width)
     write_events(conform(clean, WEB_EVENTS_ENRICHED), tables.path("web_events"))
 
     sessions = session_metrics_v2(tables.read(spark, "web_events"))
@@ -78,13 +80,14 @@ def refresh_marts(
     then,
     start="2024-01-01",
     exclude_bots: bool = True,
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: int | None = None,
     min_segment: int = 10,
 ) -> None:
     """Staging and session views to the fact table, then the marts, each a full refresh."""
     web_events = tables.read(spark, "web_events")
+    width = slice_seconds or choose_slice_seconds(web_events)
     built = fact_from_web_events(
-        web_events, slice_seconds, start=start, as_of=as_of, exclude_bots=exclude_bots
+        web_events, width, start=start, as_of=as_of, exclude_bots=exclude_bots
     )
     write_events(built, tables.path("fct_web_events"), mode="overwrite")
     fact = tables.read(spark, "fct_web_events")

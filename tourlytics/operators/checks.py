@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import count_if, first_of
-from .filters import date_at, days_back, hours_back, since_days, timestamp_at
+from .filters import date_at, days_back, hours_back, since_days, since_hours, timestamp_at
 from .sequencing import sequence_gaps
 
 
@@ -152,10 +152,10 @@ def check_time_travel_consistency(
 
     One pass: the recent and the earlier window, the latter cut by processing time.
     """
-    start, before = hours_back(as_of, hours), hours_back(as_of, 2 * hours)
+    start = hours_back(as_of, hours)
     recent = F.col(time) >= start
     earlier = (F.col(time) < start) & (F.col("processed_timestamp") <= start)
-    counts = df.where(F.col(time) >= before).agg(
+    counts = since_hours(df, as_of, 2 * hours, time).agg(
         count_if(recent).alias("now"),
         F.count_if(recent & F.col(time).isNotNull()).alias("stamped"),
         count_if(earlier).alias("then"),

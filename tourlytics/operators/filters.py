@@ -64,7 +64,12 @@ def since_days(df: DataFrame, as_of, days: int, column: str = "event_date") -> D
 
 
 def since_hours(df: DataFrame, as_of, hours: float, column: str) -> DataFrame:
-    return df.where(F.col(column) >= hours_back(as_of, hours))
+    """Rows of the last hours. For the event time, the day it implies prunes the partitions too."""
+    recent = df.where(F.col(column) >= hours_back(as_of, hours))
+    if column == "event_timestamp" and "event_date" in df.columns:
+        start = dt.datetime.fromisoformat(str(as_of)) - dt.timedelta(hours=hours)
+        recent = recent.where(F.col("event_date") >= date_at(start))
+    return recent
 
 
 def spatially_relevant(events: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify
@@ -21,7 +21,6 @@ SEGMENT_KEYS = [
     "space_preference_pattern",
 ]
 SESSION_KEYS = ["analysis_date", "session_id", "anonymous_id"]
-_ENTRY = ["referrer", "page_path", "time_period", "device_type", "detailed_region"]
 
 
 def recent_quality_events(fact: DataFrame, as_of, days: int = 30) -> DataFrame:
@@ -33,54 +32,47 @@ def daily_sessions(fact: DataFrame, as_of, days: int = 30) -> DataFrame:
     """One row per day, session and visitor.
 
     Entry and exit values belong to the whole session, also when it runs over midnight. They are
-    taken from the daily rows: each keeps its first and last event as mergeable ``min_by``/``max_by``
-    aggregates, and a window over the few daily rows of a session picks among them. So no window
-    runs over events.
+    mergeable ``min_by``/``max_by`` aggregates per session, joined to the daily rows: no window runs
+    over events, and a session id that many visitors share is split by the adaptive skew join.
     """
     core, tour = F.col("is_core_virtual_tour_event"), F.col("is_virtual_tour_page")
+    recent = recent_quality_events(fact, as_of, days)
+    daily = recent.groupBy(*SESSION_KEYS).agg(
+        F.min("event_timestamp").alias("session_start"),
+        F.max("event_timestamp").alias("session_end"),
+        F.count(F.lit(1)).alias("total_events"),
+        F.count_distinct("space_id").alias("unique_spaces_viewed"),
+        F.sum("time_on_page_seconds").alias("total_time_on_site_seconds"),
+        F.max("exploration_depth").alias("max_exploration_depth"),
+        F.sum("engagement_score").alias("total_engagement_score"),
+        F.avg("engagement_score").alias("avg_engagement_score"),
+        count_if(tour).alias("virtual_tour_events"),
+        count_if(F.col("has_space_context")).alias("space_context_events"),
+        count_if(core).alias("core_tour_events"),
+        F.array_sort(F.collect_set("space_type")).alias("space_types_engaged"),
+        F.avg("data_quality_score").alias("avg_data_quality_score"),
+        F.min("data_quality_score").alias("min_data_quality_score"),
+    )
+    return daily.join(session_ends(recent), "session_id")
+
+
+def session_ends(events: DataFrame) -> DataFrame:
+    """First and last values of every session by sequence number."""
     order = F.struct("session_event_sequence", "event_id")
-    daily = (
-        recent_quality_events(fact, as_of, days)
-        .groupBy(*SESSION_KEYS)
-        .agg(
-            F.min("event_timestamp").alias("session_start"),
-            F.max("event_timestamp").alias("session_end"),
-            F.count(F.lit(1)).alias("total_events"),
-            F.count_distinct("space_id").alias("unique_spaces_viewed"),
-            F.sum("time_on_page_seconds").alias("total_time_on_site_seconds"),
-            F.max("exploration_depth").alias("max_exploration_depth"),
-            F.sum("engagement_score").alias("total_engagement_score"),
-            F.avg("engagement_score").alias("avg_engagement_score"),
-            count_if(tour).alias("virtual_tour_events"),
-            count_if(F.col("has_space_context")).alias("space_context_events"),
-            count_if(core).alias("core_tour_events"),
-            F.array_sort(F.collect_set("space_type")).alias("space_types_engaged"),
-            F.avg("data_quality_score").alias("avg_data_quality_score"),
-            F.min("data_quality_score").alias("min_data_quality_score"),
-            F.min(order).alias("_first_at"),
-            F.max(order).alias("_last_at"),
-            F.min_by(F.struct(*_ENTRY), order).alias("_first"),
-            F.max_by(F.col("page_path"), order).alias("_last_page"),
-        )
+    entry = F.struct(
+        F.col("referrer").alias("entry_referrer"),
+        F.col("page_path").alias("entry_page"),
+        F.col("time_period").alias("session_time_period"),
+        "device_type",
+        "detailed_region",
     )
-    # Daily rows of a session: at most one per day and visitor of the look-back.
-    session = Window.partitionBy("session_id").orderBy("_first_at")
-    whole = session.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = Window.partitionBy("session_id").orderBy("_last_at")
-    ends = ends.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    entry = F.first("_first").over(whole)
     return (
-        daily.withColumns({"_entry": entry, "exit_page": F.last("_last_page").over(ends)})
-        .withColumns(
-            {
-                "entry_referrer": F.col("_entry.referrer"),
-                "entry_page": F.col("_entry.page_path"),
-                "session_time_period": F.col("_entry.time_period"),
-                "device_type": F.col("_entry.device_type"),
-                "detailed_region": F.col("_entry.detailed_region"),
-            }
+        events.groupBy("session_id")
+        .agg(
+            F.min_by(entry, order).alias("_entry"),
+            F.max_by(F.col("page_path"), order).alias("exit_page"),
         )
-        .drop("_entry", "_first_at", "_last_at", "_first", "_last_page")
+        .select("session_id", "_entry.*", "exit_page")
     )
 
 

@@ -74,20 +74,40 @@ def decode_lines(lines: DataFrame) -> DataFrame:
 
     text_line = ~F.col("_wrapped") & F.col("line").startswith('"')
     data = F.when(F.col("_wrapped"), F.col("_head.data")).when(text_line, quoted)
-    decoded, undecoded = _from_base64(data)
-    staged = spread.select(
-        "_wrapped",
-        F.col("_head.sequenceNumber").alias("sequence_number"),
-        F.col("_head.partitionKey").alias("partition_key"),
-        F.when(F.col("_wrapped") | text_line, decoded).otherwise(F.col("line")).alias("payload"),
-        first_of(
-            [
-                (F.col("_wrapped") & data.isNull(), NO_DATA),
-                (text_line & quoted.isNull(), BAD_JSON),
-                (F.col("_wrapped") | text_line, undecoded),
-            ],
-            None,
-        ).alias("_undecoded"),
+    encoded = F.col("_wrapped") | text_line
+    absent = first_of([(F.col("_wrapped"), NO_DATA)], BAD_JSON)
+    return _decoded(
+        spread.select(
+            F.col("_head.sequenceNumber").alias("sequence_number"),
+            F.col("_head.partitionKey").alias("partition_key"),
+            data.alias("data"),
+            F.when(~encoded, F.col("line")).alias("text"),
+            F.when(encoded & data.isNull(), absent).alias("error"),
+        )
+    )
+
+
+def decode_records(records: DataFrame) -> DataFrame:
+    """The same for single records of a stream source: ``data``, ``sequence_number``, ``partition_key``."""
+    return _decoded(
+        records.select(
+            "sequence_number",
+            "partition_key",
+            F.col("data").cast("string").alias("data"),
+            F.lit(None).cast("string").alias("text"),
+            F.when(F.col("data").isNull(), F.lit(NO_DATA)).alias("error"),
+        )
+    )
+
+
+def _decoded(staged: DataFrame) -> DataFrame:
+    """Document text from base64 ``data`` or plain ``text``, with the reason where it is no document."""
+    decoded, undecoded = _from_base64(F.col("data"))
+    parts = staged.select(
+        "sequence_number",
+        "partition_key",
+        F.coalesce("text", decoded).alias("payload"),
+        F.coalesce("error", F.when(F.col("data").isNotNull(), undecoded)).alias("_undecoded"),
     )
     body = F.trim("payload")
     reason = F.coalesce(
@@ -104,7 +124,7 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     # The generator keeps the decoded values as they are: without it, each later filter on the reason
     # would be pushed below and decode every record again.
     record = F.struct("payload", "sequence_number", "partition_key", reason.alias("error"))
-    return staged.select(F.explode(F.array(record)).alias("r")).select("r.*")
+    return parts.select(F.explode(F.array(record)).alias("r")).select("r.*")
 
 
 def split_quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
