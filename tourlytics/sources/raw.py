@@ -32,10 +32,17 @@ def read_envelope_stream(
     """Unbounded lines in column ``value``.
 
     ``text`` reads files that appear in a folder. Any other installed source works by name, for
-    example ``kafka`` with its options; its ``value`` is read as text.
+    example ``kafka`` with its options; its ``value`` is read as text. A source of single records
+    keeps its columns ``data``, ``sequenceNumber`` and ``partitionKey``.
     """
     reader = spark.readStream.format(source).options(**{k: str(v) for k, v in options.items()})
     lines = reader.load(path) if path else reader.load()
+    if "data" in lines.columns:
+        return lines.select(
+            F.col("data").cast("string").alias("data"),
+            F.col("sequenceNumber").alias("sequence_number"),
+            F.col("partitionKey").alias("partition_key"),
+        )
     return lines.select(F.col("value").cast("string").alias("value"))
 
 
