@@ -17,7 +17,8 @@ def write_lines(path):
         docs = []
         for i in range(8):
             flat = {**FLAT, "sessionId": f"s{s}", "anonymousId": f"u{s % 3}", "secondsUtcTS": START + 40_000 * i}
-            event = {**NESTED["eventData"], "userAgent": "Mozilla", "sessionId": f"s{s}", "secondsUtcTS": START + 40_000 * i + 20_000}
+            event = {**NESTED["eventData"], "userAgent": "Mozilla", "sessionId": f"s{s}"}
+            event["secondsUtcTS"] = START + 40_000 * i + 20_000
             docs += [flat, {**NESTED, "metadata": {"anonymousId": f"u{s % 3}"}, "eventData": event}]
         lines.append(json.dumps({"Records": [record(b64(json.dumps(d)), f"{s}-{i}") for i, d in enumerate(docs)]}))
     path.mkdir()

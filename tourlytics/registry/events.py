@@ -86,21 +86,33 @@ def valid(spark, folder):
     return plain(kept.groupBy(who).agg(F.count(F.lit(1)).alias("rows")))
 
 
-@query(
-    "sequenced_sessions",
+_SEQUENCED = (
     chain("seq")
     + f"""SELECT event_id, session_id, {ts("event_timestamp")}, session_event_sequence,
-is_first_event_in_session, {ts("next_event_timestamp")}, time_on_page_seconds FROM seq""",
+is_first_event_in_session, {ts("next_event_timestamp")}, time_on_page_seconds FROM seq"""
 )
-def sequenced(spark, folder):
+
+
+def _sequenced(spark, folder, slice_seconds):
     return plain(
-        sequence_sessions(data.valid(spark, folder)).select(
+        sequence_sessions(data.valid(spark, folder), slice_seconds).select(
             "event_id", "session_id", "event_timestamp", "session_event_sequence",
             "is_first_event_in_session", "next_event_timestamp", "time_on_page_seconds",
         )
     )
 
 
+@query("sequenced_sessions", _SEQUENCED)
+def sequenced(spark, folder):
+    return _sequenced(spark, folder, 3600)
+
+
+@query("sequenced_short_slices", _SEQUENCED)
+def sequenced_short(spark, folder):
+    """Slices of a minute: most sessions have several, so their carried values matter."""
+    return _sequenced(spark, folder, 60)
+
+
 @query("web_events", chain("web") + f"SELECT {sql_cols(WEB_COLS)} FROM web")
 def web_events(spark, folder):
     return plain(data.web_events_plan(spark, folder).select(*WEB_COLS))
@@ -222,6 +234,11 @@ def boundaries(spark, folder):
     return plain(session_boundaries(data.staged(spark, folder)).select(*BOUNDARY_COLS))
 
 
+@query("session_boundaries_short_slices", chain("bnd") + f"SELECT {sql_cols(BOUNDARY_COLS)} FROM bnd")
+def boundaries_short(spark, folder):
+    return plain(session_boundaries(data.staged(spark, folder), 60).select(*BOUNDARY_COLS))
+
+
 FACT_COLS = [*WEB_COLS, "engagement_level", *BOUNDARY_COLS[3:-1], *FACT_ADDED]
 
 

@@ -111,7 +111,8 @@ def as_of(spark, folder):
 @query(
     "compacted_partitions",
     chain("web")
-    + f"""SELECT {day("event_date")}, space_type, count(*) AS rows, true AS files_ok FROM web GROUP BY event_date, space_type""",
+    + f"""SELECT {day("event_date")}, space_type, count(*) AS rows, true AS files_ok FROM web
+GROUP BY event_date, space_type""",
 )
 def compacted(spark, folder):
     """Four appends leave several files; compaction leaves recent partitions the files they need."""

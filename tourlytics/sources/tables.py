@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,10 +151,10 @@ def append_new(
     the target is not shuffled; a larger batch is joined by shuffling both key sets.
     """
     unique = latest_per_key(batch, key, _recency(batch))
-    if not table_exists(spark, path):
+    target, on = read_if_exists(spark, path), [key]
+    if target is None:
         write_events(unique, path, partitions)
         return
-    target, on = spark.read.parquet(path), [key]
     if day:
         on = [key, day]
         days = [r[0] for r in batch.select(day).distinct().limit(PRUNED_DAYS + 1).collect()]
@@ -192,13 +193,13 @@ def union_dedup(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 # ---- Maintenance ------------------------------------------------------------------------------
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    where = hadoop.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(where)) and any(
-        not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(where)
-    )
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def partition_files(
@@ -226,7 +227,7 @@ def compact_partitions(
 
     A partition of n target sizes is spread over n tasks by a hash of ``spread_by``. The table of
     partition sizes is broadcast: it has one row per partition folder, a listing the driver holds
-    anyway to plan the scan.
+    anyway to plan the scan. Run it while nothing else writes to these partitions.
     """
     day = partitions[0]
     sizes = (
