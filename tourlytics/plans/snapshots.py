@@ -251,7 +251,9 @@ def snapshot_trend(events: DataFrame, moments: list[str]) -> DataFrame:
             F.count("data_quality_score").alias("_scored"),
         )
     )
-    times = events.sparkSession.createDataFrame([(m,) for m in ordered], "_at string")
+    times = events.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(moment) for moment in ordered])).alias("_at")
+    )
     so_far = Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
 
     def running(name: str) -> Column:
