@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import TABLES, rows_of
+from tourlytics.registry import catalog
 
 SOME = [
     "web_events", "fact_events", "session_metrics_v1", "session_metrics_v3", "classified_journeys",
@@ -14,7 +15,7 @@ SOME = [
     "data_quality_monitor", "rolling_event_statistics", "ingest_counts", "normalized_stream_events",
     "raw_to_web_events", "merge_upsert", "compacted_partitions", "check_alerts", "stream_hourly_metrics",
 ]
-NAMES = list(entry.queries()) if os.environ.get("ALL_QUERIES") == "1" else SOME
+NAMES = list(catalog.QUERIES) if os.environ.get("ALL_QUERIES") == "1" else SOME
 
 
 @pytest.fixture(scope="module")
@@ -39,5 +40,5 @@ def test_query_matches_sql(spark, small, duck, name):
 
 
 def test_every_query_has_sql_and_entry_runs(spark):
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.SQL)
     assert entry.entry(spark).count() > 0
