@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, simhash
+from . import decontaminate, langid, packing, phrases, pstable, secret_scan, separators, simhash
 from .registry import query
 
 
@@ -13,6 +13,17 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+@query("op2_separator_scan")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return separators.counted(_read(spark, folder, "documents"))
+
+
+@query("op3_phrase_automata")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = phrases.without_repeats(_read(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query("op4_prefix_filtered_join")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contaminated(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
@@ -31,3 +42,22 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op6_byte_convolution")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.languages(_read(spark, folder, "documents"))
+
+
+@query("op7_markov_secrets")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(secret_scan.labelled_tokens(docs)))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS[:3]]
+    base = F.sha2(secret_scan.listed(secret_scan.KINDS[:3]), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secret_scan.listed(secret_scan.KINDS).alias("spans"))
+
+
+@query("op10_p_stable_hashing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return pstable.linked(_read(spark, folder, "embeddings"))

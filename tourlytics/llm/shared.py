@@ -11,10 +11,10 @@ from ..session import working_path
 MISSING_ID = -(2**63)  # stands for a null id where ids are ordered: before all others
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Writes a step below the shared folder and reads it back, which cuts the lineage."""
     path = working_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
