@@ -6,17 +6,23 @@ ASCII white space, one after the other. A chunk is encoded once per worker and l
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 
-KEPT_CHUNKS = 700_000  # of one worker; the store starts anew beyond it
+KEPT_CHUNKS = 1_500_000  # of one worker; the store starts anew beyond it
 GROUP_BYTES = 1 << 20
 GROUP_CHUNKS = 200_000
 
+MARKS = ".,;:!?"
+LATIN_END = "\u0180"  # letters below are in composed form already
+
+#: Byte-level letters by byte: printable ones stand for themselves, the others for 256, 257, ... in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
 _stores: dict[tuple[str, bool], Chunks] = {}
 
 
@@ -41,10 +47,8 @@ class Chunks:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
-        with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
-        self.last = np.zeros(max(vocabulary.values()) + 1024, bool)  # ids that end a word
-        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.word = self.tokenizer.model.tokenize
+        self.marks = {m: [t.id for t in self.word(m)] for m in MARKS}
         self.clear()
 
     def clear(self) -> None:
@@ -55,16 +59,24 @@ class Chunks:
         self.fill = 0  # of flat
         self.used = 0  # chunks
 
+    def _simple(self, chunk: str) -> list[int] | None:
+        """Ids of a word of Latin letters, with one mark behind it at most: what the tokenizer's steps come to."""
+        low, mark = chunk.lower(), ()
+        if low[-1] in MARKS:
+            low, mark = low[:-1], self.marks[low[-1]]
+        if not low.isalpha() or max(low) >= LATIN_END:
+            return None
+        return [t.id for t in self.word(low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_LETTERS))] + [*mark]
+
     def _encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids and the number of ids of each chunk. Words of letters only go through in one line."""
-        if all(map(str.isalpha, chunks)):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)[0].ids, np.uint32)
-            at = np.flatnonzero(self.last[ids])
-            if len(at) == len(chunks) and at[-1] == len(ids) - 1:
-                return ids, np.diff(at, prepend=-1)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        """Flat ids and the number of ids of each chunk."""
+        found = list(map(self._simple, chunks))
+        rest = [k for k, ids in enumerate(found) if ids is None]
+        others = self.tokenizer.encode_batch_fast([chunks[k] for k in rest], add_special_tokens=False)
+        for k, other in zip(rest, others, strict=True):
+            found[k] = other.ids
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((x for f in found for x in f), np.uint32, int(lengths.sum())), lengths
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
 
     def _store(self, chunks: list[str], numbers: np.ndarray) -> None:
         ids, n = self._encode(chunks)
@@ -80,12 +92,9 @@ class Chunks:
         while self.used + len(new) > len(self.starts):
             self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
             self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
-        words = np.fromiter(map(str.isalpha, new), bool, len(new))
-        for kind in (words, ~words):
-            numbers = np.flatnonzero(kind)
-            for i in range(0, len(numbers), 2048):
-                some = numbers[i : i + 2048]
-                self._store([new[k] for k in some.tolist()], some + self.used)
+        for i in range(0, len(new), 4096):
+            some = new[i : i + 4096]
+            self._store(some, np.arange(self.used + i, self.used + i + len(some)))
         self.used += len(new)
 
     def _ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +112,7 @@ class Chunks:
         """The ids of each text; null and empty texts have none."""
         out: list[np.ndarray] = []
         for group in grouped(texts):
-            chunks = [(t or b"").split() for t in group]
+            chunks = [_low(t or b"").split() for t in group]
             flat = list(chain.from_iterable(chunks))
             pieces = [self._ids(flat[i : i + GROUP_CHUNKS]) for i in range(0, len(flat), GROUP_CHUNKS)]
             ids = np.concatenate([p for p, _ in pieces]) if pieces else np.empty(0, np.uint32)
@@ -128,6 +137,12 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _low(text: bytes) -> bytes:
+    """ASCII letters in lower case, as the tokenizer has them; not where special strings or marks to be
+    joined with a letter could be."""
+    return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
 def grouped(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
     """Texts in order, in groups of about GROUP_BYTES, at least one each."""
     group: list[bytes | None] = []
