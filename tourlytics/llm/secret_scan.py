@@ -22,10 +22,10 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"  # with the four letters at least 18; a shorter ru
 HEX = r"[0-9a-f]{16,}"
 
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
-ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=_-"
 STATES = len(ALPHABET) + 2  # 0: any other character; the last: before the first character
 LEAST_RATIO = 12.0  # of the logarithms, for the whole token
-LEAST_MEAN = 0.75  # of the logarithms, for each character
+LEAST_MEAN = 1.75  # of the logarithms, for each character
 
 SAMPLE_DOCUMENTS = 2000  # rows whose words teach what is ordinary
 SAMPLE_RANDOM = 2000  # generated strings of each form
@@ -37,25 +37,31 @@ def _codes(token: Column) -> Column:
 
 
 def labelled_tokens(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sample_random: int = SAMPLE_RANDOM) -> DataFrame:
-    """token, random: labelled samples. Ordinary ones are words of some documents, alone and joined as identifiers.
-
-    Random ones are hex, base-64 and capital strings made from hashes, and the values of fixed patterns in
-    the same documents. At most ``sample_documents`` rows, taken by a hash of their id, give words.
+    """token, random: labelled samples. Ordinary ones are words of some documents, alone and joined as identifiers,
+    and rules, dates and numbers. Random ones are hex, base-64 and capital strings made from
+    hashes, and the values of fixed patterns in the same documents. At most ``sample_documents`` ids, taken by
+    their hash, give words; rows without an id give none.
     """
-    some = docs.where("text is not null").select("text", F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(sample_documents)
+    chosen = docs.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample_documents)
+    some = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
     base = F.concat(*[F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (ACCESS, HEX)], F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)))
     known = some.select(F.explode(base).alias("token")).where(F.length("token") >= 12).select("token", F.lit(True).alias("random"))
     words = F.filter(F.split("text", r"[^A-Za-z]+"), lambda w: F.length(w) >= 2)
     listed = some.select(words.alias("w"))
     pairs = F.transform("w", lambda w, i: F.struct(w.alias("a"), F.get("w", i + 1).alias("b"), i.alias("i")))
     joined = listed.select(F.explode(pairs).alias("p")).where("p.b is not null").select("p.*")
-    identifier = (
-        F.when(F.col("i") % 4 == 0, F.col("a"))
-        .when(F.col("i") % 4 == 1, F.concat_ws("_", F.lower("a"), F.lower("b")))
-        .when(F.col("i") % 4 == 2, F.concat(F.lower("a"), F.initcap("b")))
-        .otherwise(F.concat(F.lower("a"), F.lit("-"), F.lower("b"), (F.col("i") % 100).cast("string")))
-    )
+    low = [F.lower(c) for c in "ab"]
+    forms = [
+        F.col("a"), F.concat_ws("_", *low), F.concat_ws("_", F.upper("a"), F.upper("b")), F.concat(low[0], F.initcap("b")),
+        F.concat(F.initcap("a"), F.initcap("b")), F.concat_ws("/", *low), F.concat_ws("/", low[0], F.initcap("b")),
+        F.concat(low[0], F.lit("-"), low[1], (F.col("i") % 100).cast("string")),
+    ]
+    identifier = F.get(F.array(*forms), F.col("i") % len(forms))
+    rules = [F.expr(f"repeat('{c}', id % 60 + 2)") for c in "-=_+/0"]
+    numbers = [F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).cast("string"), (F.col("id") * 7919).cast("string"), F.concat(F.lit("v"), (F.col("id") % 30).cast("string"))]
+    marks = docs.sparkSession.range(sample_random).select(F.explode(F.array(*rules, *numbers)).alias("token"))
     ordinary = joined.select(identifier.alias("token"), F.lit(False).alias("random"))
+    ordinary = ordinary.unionByName(marks.select("token", F.lit(False).alias("random")))
     return known.unionByName(ordinary).unionByName(random_tokens(docs.sparkSession, sample_random))
 
 
