@@ -26,6 +26,9 @@ from .shared import MISSING_ID, parts, raw, text_bytes
 WIDTH = 20
 BLOCK_BYTES = 8 << 20  # of text in a block, about; blocks grow in number only
 
+CODE = 3
+UNKNOWN = "\0" * CODE
+
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
@@ -155,20 +158,40 @@ def _confirm(width: int):
     return run
 
 
+def _common(a: str, i: int, b: str, j: int, most: int) -> int:
+    """How many characters agree from a[i] and b[j] on, ``most`` at the most."""
+    if a[i : i + most] == b[j : j + most]:
+        return most
+    low, high = 0, most  # low agree, high do not
+    while high - low > 1:
+        mid = (low + high) // 2
+        if a[i + low : i + mid] == b[j + low : j + mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
 class _Automaton:
-    """Passages compiled into one automaton over word numbers."""
+    """Passages compiled into one automaton over codes of words.
+
+    A node's edges are searched one by one, so a word is CODE characters of a small alphabet rather than one
+    of a large one. The first comes from an alphabet of its own, which keeps matches on whole words. Words of
+    no passage have a code that no tile holds.
+    """
 
     def __init__(self, passages: pa.Table, width: int) -> None:
-        self.width, self.tile, self.numbers = width, width // 2, {}
-        sources = zip(passages.column("source_id").to_pylist(), passages.column("source_start").to_pylist(), strict=True)
-        self.sources = list(sources)
-        number = self.numbers.setdefault
-        self.passages = [tuple(number(w, len(self.numbers) + 1) for w in p.split(b" ")) for p in passages.column("words").to_pylist()]
-        tiles: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        self.width, self.tile = width, width // 2
+        split = [p.split(b" ") for p in passages.column("words").to_pylist()]
+        self.codes = {w: _code(k) for k, w in enumerate(dict.fromkeys(w for p in split for w in p))}
+        self.sources = list(zip(passages.column("source_id").to_pylist(), passages.column("source_start").to_pylist(), strict=True))
+        self.passages = ["".join([self.codes[w] for w in p]) for p in split]
+        tiles: dict[str, list[tuple[int, int]]] = {}
+        size = self.tile * CODE
         for k, passage in enumerate(self.passages):
-            for at in range(0, len(passage) - self.tile + 1, self.tile):
-                tiles.setdefault(passage[at : at + self.tile], []).append((k, at))
-        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+            for at in range(0, len(passage) - size + 1, size):
+                tiles.setdefault(passage[at : at + size], []).append((k, at))
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
         for tile, places in tiles.items():
             self.machine.add_word(tile, places)
         self.machine.make_automaton()
@@ -178,28 +201,37 @@ class _Automaton:
         hit = bytearray(len(words))
         if not self.passages or len(words) < self.width:
             return hit
-        get = self.numbers.get
-        text = tuple([get(w, 0) for w in words])
-        done: dict[tuple[int, int], int] = {}
+        get = self.codes.get
+        text = "".join([get(w, UNKNOWN) for w in words])
+        back: str | None = None
+        size, done = self.tile * CODE, {}
         for end, places in self.machine.iter(text):
-            at = end + 1 - self.tile
+            at = end + 1 - size
             for k, offset in places:
                 if done.get((k, at - offset), -1) > end:
                     continue
                 passage = self.passages[k]
-                low, most = 0, min(at, offset)
-                while low < most and text[at - low - 1] == passage[offset - low - 1]:
-                    low += 1
-                high, most = self.tile, min(len(text) - at, len(passage) - offset)
-                while high < most and text[at + high] == passage[offset + high]:
-                    high += 1
+                most = min(at, offset)
+                low = 0
+                if most:
+                    back = back if back is not None else text[::-1]
+                    low = _common(back, len(text) - at, passage[::-1], len(passage) - offset, most) // CODE * CODE
+                high = _common(text, at, passage, offset, min(len(text) - at, len(passage) - offset)) // CODE * CODE
                 done[k, at - offset] = at + high
                 source, start = self.sources[k]
-                if low + high >= self.width and (source, start + offset - low) < (doc, at - low):
-                    hit[at - low : at + high] = b"\x01" * (low + high)
+                first, n = (at - low) // CODE, (low + high) // CODE
+                if n >= self.width and (source, start + (offset - low) // CODE) < (doc, first):
+                    hit[first : first + n] = b"\x01" * n
         return hit
 
 
+def _code(k: int) -> str:
+    """CODE characters for a number; the first alphabet grows with the numbers."""
+    k, low = divmod(k, 128)
+    k, mid = divmod(k, 128)
+    return chr(0x10000 + k) + chr(0x200 + mid) + chr(0x300 + low)
+
+
 def _locate(width: int):
     def run(rows: pa.Table, passages: pa.Table) -> pa.Table:
         machine = _Automaton(passages, width)
