@@ -15,8 +15,9 @@ def matches(text: Column, pattern: str) -> Column:
     the pattern must not match an empty string.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    steps = F.transform(found, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), m.alias("m")))
+    gaps = F.split(text, pattern, -1)  # one more than there are matches
+    steps = F.zip_with(gaps, found, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
+    steps = F.filter(steps, lambda x: x["m"].isNotNull())
     start = F.struct(F.array().cast(EMPTY).alias("out"), F.lit(0).alias("at"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -44,9 +45,9 @@ def replaced(text: Column, spans: Column, by: Column) -> Column:
 
     plain = F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
     merged = F.aggregate(F.array_sort(plain), start, merge)
-    end_before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(merged, i - 1)["e"])
-    pieces = F.transform(
-        merged, lambda x, i: F.concat(F.substring(text, end_before(i) + 1, x["s"] - end_before(i)), by)
+    begins = F.concat(F.array(F.lit(0)), F.transform(merged, lambda x: x["e"]))
+    pieces = F.zip_with(
+        merged, begins, lambda x, begin: F.when(x.isNotNull(), F.concat(F.substring(text, begin + 1, x["s"] - begin), by)).otherwise("")
     )
     tail = F.substring(text, F.element_at(merged, -1)["e"] + 1, F.length(text))
     return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), tail)).otherwise(text)

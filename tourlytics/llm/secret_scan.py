@@ -78,10 +78,9 @@ def train(samples: DataFrame, weight: float = 0.5) -> list[float]:
 
     ``samples`` has token and random; null and empty tokens teach nothing; without samples all is zero.
     """
-    pairs = F.transform(
-        _codes(F.col("token")),
-        lambda c, i: F.struct(F.when(i == 0, F.lit(STATES - 1)).otherwise(F.get(_codes(F.col("token")), i - 1)).alias("a"), c.alias("b")),
-    )
+    codes = _codes(F.col("token"))
+    before = F.concat(F.array(F.lit(STATES - 1)), codes)  # one longer
+    pairs = F.filter(F.zip_with(before, codes, lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["b"].isNotNull())
     seen = samples.where("token <> ''").select("random", F.explode(pairs).alias("p")).groupBy("random", "p.a", "p.b").count()
     counts = {True: [weight] * STATES * STATES, False: [weight] * STATES * STATES}
     for row in seen.collect():  # at most two rows for each pair of states
