@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, phrases, pstable, secret_scan, separators, simhash
+from . import decontaminate, langid, packing, phrases, pseudonyms, pstable, quotes, secret_scan, separators, simhash
 from .registry import query
 
 
+DEMO_KEY = "registered query"  # in use, the key comes from a secret store
+
+
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+@query("op1_quote_links")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.conversations(_read(spark, folder, "conversations"))
+
+
 @query("op2_separator_scan")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return separators.counted(_read(spark, folder, "documents"))
@@ -58,6 +66,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, base, secret_scan.listed(secret_scan.KINDS).alias("spans"))
 
 
+@query("op9_feistel_pseudonyms")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(docs, DEMO_KEY)
+
+
 @query("op10_p_stable_hashing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pstable.linked(_read(spark, folder, "embeddings"))
