@@ -51,6 +51,14 @@ def test_leaks_match_brute_force(spark, block_bytes):
     assert ordered(got) == ordered(brute([(r["doc_id"], r["text"]) for r in docs.collect()], ITEMS))
 
 
+def test_clean_documents_stay_whole(spark):
+    docs = documents(spark)
+    bench = spark.createDataFrame([(1, "Quick brown fox jumps over the lazy dog near the")], "item_id long, text string")
+    kept = decontaminate.clean(docs, bench)
+    assert kept.columns == docs.columns
+    assert ordered(kept.collect()) == ordered(r for r in docs.collect() if r["doc_id"] not in (0, 1))
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(documents(spark, []), items).collect() == []

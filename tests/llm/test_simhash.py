@@ -79,5 +79,14 @@ def test_components_of_documents(spark):
     assert ordered(found) == ordered(expected)
 
 
+def test_one_row_of_each_group_stays(spark):
+    docs = documents(spark)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert ordered(r["doc_id"] for r in kept.select(F.array("doc_id")).toDF("doc_id").collect()) == ordered([[0], [2], [5], [7], [8], [9], [None]])
+    assert {tuple(r) for r in kept.collect()} <= {tuple(r) for r in docs.collect()}
+    assert simhash.one_of_each(documents(spark, [])).collect() == []
+
+
 def test_no_documents(spark):
     assert simhash.near_duplicates(documents(spark, [])).collect() == []

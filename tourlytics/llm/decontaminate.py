@@ -25,6 +25,7 @@ BLOCK_BYTES = 4 << 20  # benchmark text that one broadcast holds; larger benchma
 
 #: ASCII letters in lower case and digits stay, other ASCII bytes part words, bytes above stay.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
+_FOUND = ("n_words", "starts", "ends", "items")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -191,40 +192,44 @@ def _scan(shared):
                 starts.append([a for a, _ in merged])
                 ends.append([b for _, b in merged])
                 items.append(sorted(ids))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("text"), pa.array(count, pa.int64()),
-                    pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())),
-                ],
-                ["doc_id", "text", "n_words", "starts", "ends", "items"],
-            )
+            kept = [n for n in batch.schema.names if n not in _FOUND]
+            lists = pa.list_(pa.int64())
+            found = [pa.array(count, pa.int64()), pa.array(starts, lists), pa.array(ends, lists), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + found, kept + list(_FOUND))
 
     return run
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, starts and ends of hit word spans (merged), items: sorted ids as strings.
+    """The rows of ``docs`` with n_words, starts and ends of hit word spans (merged), items: sorted ids as strings.
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one
     window. Null and empty texts have no words and no hits; items without words or without an id hit
-    nothing; repeated items and windows count once. One row for each row of ``docs``, repeated ids too.
-    The benchmark is held in blocks of ``block_bytes`` of text: each block counts its shingles over all
-    documents and adds its hits to the rows; a larger benchmark takes more blocks, in the same way.
+    nothing; repeated items and windows count once. One row for each row of ``docs``, repeated ids too;
+    columns of the added names are replaced. The benchmark is held in blocks of ``block_bytes`` of text: each
+    block counts its shingles over all documents and adds its hits to the rows; a larger benchmark takes more
+    blocks, in the same way.
     """
-    doc = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kind = "doc_id long, text string, n_words long, starts array<long>, ends array<long>, items array<string>"
     longs, strings = F.array().cast("array<long>"), F.array().cast("array<string>")
-    out = doc.select("doc_id", "text", longs.alias("starts"), longs.alias("ends"), strings.alias("items"))
+    empty = [F.lit(0).cast("long"), longs, longs, strings]
+    out = docs.drop(*_FOUND).select("*", *[c.alias(n) for c, n in zip(empty, _FOUND, strict=True)])
+    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
     for block in _blocks(benchmark, window, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(_Index.of(doc, block, shingle))
+        shared = docs.sparkSession.sparkContext.broadcast(_Index.of(docs, block, shingle))
         out = out.mapInArrow(_scan(shared), kind)
-    return out.drop("text")
+    return out
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The leak report of each document with its counts; see ``leaks``."""
-    found = leaks(docs, benchmark)
+    """doc_id, n_words, items, n_hit, n_items, contaminated of each document; see ``leaks``."""
+    found = leaks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
     hit = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
-    return found.select("*", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), (F.size("starts") > 0).alias("contaminated"))
+    return found.select(
+        "doc_id", "n_words", "items", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), (F.size("starts") > 0).alias("contaminated")
+    )
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark window, with their columns."""
+    found = leaks(docs.select(F.struct("*").alias("row"), "text"), benchmark)
+    return found.where(F.size("starts") == 0).select("row.*")

@@ -22,6 +22,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 SAMPLE_ROWS = 4000  # labelled rows that the network is fitted on, dealt evenly over the languages
+SHARES = 64  # in which the rows of a language are ranked
 WINDOWS_PER_ROW = 10
 EPOCHS = 8
 BATCH = 64
@@ -190,7 +191,8 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, per_row: int = WIND
     predicts ``und``.
     """
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("key"))
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id"))).where(F.col("rank") <= sample_rows)
+    share = Window.partitionBy("lang", F.pmod("key", F.lit(SHARES))).orderBy("key", "doc_id")
+    ranked = rows.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= -(-sample_rows // SHARES))
     chosen = ranked.orderBy("rank", "key").limit(sample_rows).select("doc_id", "key").distinct()
     texts = labelled.where("lang is not null").select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")
     cut = texts.mapInArrow(_samples(per_row), "lang string, codes binary").collect()

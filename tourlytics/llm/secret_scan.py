@@ -136,11 +136,10 @@ def listed(kinds: tuple[str, ...]) -> Column:
 
 def redacted(docs: DataFrame, model: list[float], by: str = "[secret]") -> DataFrame:
     """The rows of ``docs`` with every span in text replaced and n_chars counted anew where there was one."""
-    columns = docs.columns
+    found = scan(docs.select(F.struct("*").alias("row"), "text"), model)
     spans = F.transform(F.concat(*KINDS), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
-    clean = docs.select(*[F.col(f"`{c}`") for c in columns if c not in KINDS])
-    found = scan(clean, model).withColumn("spans_", spans)
-    found = found.withColumn("text", replaced(F.col("text"), F.col("spans_"), F.lit(by)))
-    if "n_chars" in columns:
-        found = found.withColumn("n_chars", F.when(F.size("spans_") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found.select(*clean.columns)
+    found = found.select("row", spans.alias("spans"), "text")
+    found = found.select("row", "spans", replaced(F.col("text"), F.col("spans"), F.lit(by)).alias("text"))
+    length = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("text"), "n_chars": length}
+    return found.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])

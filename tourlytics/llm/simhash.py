@@ -53,7 +53,7 @@ def _fingerprint(text: bytes | None, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id and the fingerprint of the whole text, as a long with the same 64 bits.
+    """doc_id, the hash of the text and the fingerprint of the whole text, as a long with the same 64 bits.
 
     Null and empty texts get zero. One row for each row of the input, repeated ids too.
     """
@@ -61,9 +61,10 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([_fingerprint(t, width) for t in raw(batch)], np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(found, pa.int64())], ["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def _third_mask(low: int, high: int) -> np.uint64:
@@ -182,6 +183,16 @@ def links(distinct: DataFrame) -> DataFrame:
     return found.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS)
 
 
+def _groups(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of the rows, and for each fingerprint its group (a fingerprint) and the group's least id."""
+    prints = settle(fingerprints(docs, width), "fingerprints")
+    lowest = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "distinct")
+    tied = connected(links(lowest)).select(F.col("node").alias("fp"), "component")
+    named = lowest.join(tied, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    least = named.groupBy("component").agg(F.min("lowest").alias("component_id"))
+    return prints, named.join(least, "component").select("fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id, fp (long) and component_id: the smallest doc_id reachable over links of up to three bits.
 
@@ -189,13 +200,22 @@ def near_duplicates(docs: DataFrame, width: int = 3) -> DataFrame:
     row. Null and empty texts have fingerprint zero and are linked like any other. Rows with a null
     doc_id keep their place in the linking; they never name a component unless all ids in it are null.
     """
-    prints = settle(fingerprints(docs, width), "fingerprints")
-    lowest = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "distinct")
-    tied = connected(links(lowest)).select(F.col("node").alias("fp"), "component")
-    named = lowest.join(tied, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    by_print = named.join(least, "component").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    prints, groups = _groups(docs, width)
+    return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
+    """One row of each group of near-duplicates: that of the smallest doc_id, with the columns of ``docs``.
+
+    Rows without an id stand behind the others of their group; of rows that share the id, that of the least
+    hash of the text stays, once.
+    """
+    prints, groups = _groups(docs, width)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    kept = prints.join(groups, "fp").groupBy("component").agg(first).select("first.doc_id", "first.text_key").distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    stay = rows.join(kept, rows["id"].eqNullSafe(kept["doc_id"]) & (rows["key"] == kept["text_key"]), "left_semi")
+    return stay.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def hex_digits(column: Column) -> Column:

@@ -12,7 +12,7 @@ from itertools import chain
 
 import numpy as np
 
-KEPT_CHUNKS = 1_500_000  # of one worker; the store starts anew beyond it
+KEPT_CHUNKS = 1_000_000  # of one worker; the store starts anew beyond it
 GROUP_BYTES = 1 << 20
 GROUP_CHUNKS = 200_000
 
