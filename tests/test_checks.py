@@ -182,6 +182,9 @@ def test_schema_compatible(spark):
     old = rows(spark, 1)
     assert status(c.check_schema_compatible(old, old.selectExpr("*", "1 more"))) == ["pass"]
     assert status(c.check_schema_compatible(old, old.drop("user_id"))) == ["error"]
+    emptied = old.selectExpr("* except (session_id)", "cast(null as string) session_id")
+    assert status(c.check_schema_compatible(old, emptied)) == ["error"]
+    assert status(c.check_schema_compatible(old, old.limit(0))) == ["pass"]
     retyped = old.selectExpr("* except (engagement_score)", "'1' engagement_score")
     assert c.schema_changes(old, retyped) == [("engagement_score", "type")]
     assert status(c.check_schema_compatible(old, old, ["event_date"], ["space_type"])) == ["error"]

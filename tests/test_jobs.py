@@ -39,7 +39,7 @@ def test_from_lines_to_report(spark, tmp_path):
     # a user id on every second event splits the session rows by user
     assert tables.read(spark, "session_metrics_v2").count() == 12
 
-    refresh_marts(spark, tables, "2024-01-16 00:00:00", "2024-01-15 00:00:00", min_segment=1, slice_seconds=60)
+    refresh_marts(spark, tables, "2024-01-16 00:00:00", "2024-01-15 00:00:00", "2024-01-01", min_segment=1, slice_seconds=60)
     fact = tables.read(spark, "fct_web_events")
     assert fact.count() == 96 and {"room_category", "coordinates", "user_id"} <= set(fact.columns)
     spatial = tables.read(spark, "spatial_analytics")

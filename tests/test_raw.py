@@ -11,11 +11,11 @@ from tourlytics.operators.filters import valid_events
 from tourlytics.sources.normalize import coordinates_json, edge_enrichment, normalize_event
 from tourlytics.sources.raw import decode_lines, ingest_counts, read_raw_lines, split_quarantine
 
-MILLIS = 1674840769225
+MILLIS = 1706012345678
 FLAT = {
     "type": "page",
-    "anonymousId": "8d6aabc7",
-    "sessionId": "19b0a5fb",
+    "anonymousId": "visitor-17",
+    "sessionId": "visit-4",
     "secondsUtcTS": MILLIS,
     "properties": {
         "url": "https://x.example/viewer",
@@ -28,7 +28,7 @@ FLAT = {
     },
     "os": {"name": "Windows"},
     "referrer": "https://r.example",
-    "timezone": "America/Buenos_Aires",
+    "timezone": "Europe/Lisbon",
     "userAgent": "Mozilla/5.0",
     "appId": "web",
 }
@@ -98,7 +98,7 @@ def test_line_forms(spark, tmp_path):
         ("12", "p2", None),
     ]
     assert sorted(json.loads(r["payload"])["sessionId"] if "sessionId" in json.loads(r["payload"]) else "-"
-                  for r in rows) == ["-", "-", "19b0a5fb", "19b0a5fb"]
+                  for r in rows) == ["-", "-", "visit-4", "visit-4"]
 
 
 @pytest.mark.parametrize(
@@ -144,9 +144,9 @@ def test_records_that_are_no_list_are_an_event(spark):
 
 def test_flat_layout(spark):
     row = events(spark, FLAT).first()
-    assert row["error"] is None and row["event_id"].startswith(f"19b0a5fb_{MILLIS}_")
-    assert row["event_timestamp"] == dt.datetime(2023, 1, 27, 17, 32, 49, 225000)
-    assert (row["event_date"], row["event_hour"]) == (dt.date(2023, 1, 27), 17)
+    assert row["error"] is None and row["event_id"].startswith(f"visit-4_{MILLIS}_")
+    assert row["event_timestamp"] == dt.datetime(2024, 1, 23, 12, 19, 5, 678000)
+    assert (row["event_date"], row["event_hour"]) == (dt.date(2024, 1, 23), 12)
     assert (row["page_path"], row["screen_width"], row["os_name"]) == ("/viewer", 1920, "Windows")
     assert row["mongodb_id"] is None and row["created_at"] is None and row["coordinates"] is None
     assert json.loads(row["properties_json"])["spaceId"] == "sp1"
@@ -169,7 +169,7 @@ def test_nested_layout(spark):
 def test_ids_of_the_layouts(spark):
     no_session = {**FLAT, "sessionId": None}
     ids = [r["event_id"] for r in events(spark, FLAT, no_session, layout="stream").collect()]
-    assert ids == [f"19b0a5fb_{MILLIS}_0", f"unknown_{MILLIS}_1"]
+    assert ids == [f"visit-4_{MILLIS}_0", f"unknown_{MILLIS}_1"]
     empty = {**NESTED, "eventData": {**NESTED["eventData"], "sessionId": ""}}
     ids = [r["event_id"] for r in events(spark, NESTED, empty, no_session, layout="edge").collect()]
     assert ids == [f"s-1_0_{MILLIS}", f"meta-user_1_{MILLIS}", f"unknown_2_{MILLIS}"]
@@ -190,8 +190,18 @@ def test_missing_and_zero_time(spark):
 @pytest.mark.parametrize(
     "change, error",
     [
-        ({"secondsUtcTS": "1674840769225"}, "bad_time"),
+        ({"secondsUtcTS": "1706012345678"}, "bad_time"),
         ({"secondsUtcTS": "soon"}, "bad_time"),
+        ({"secondsUtcTS": MILLIS * 1_000_000}, "bad_time"),
+        ({"secondsUtcTS": 1e30}, "bad_time"),
+        ({"secondsUtcTS": -1e300}, "bad_time"),
+        ({"secondsUtcTS": 10**400}, "bad_time"),
+        ({"secondsUtcTS": 253_402_300_800_000}, "bad_time"),
+        ({"secondsUtcTS": 253_402_300_799_999}, None),
+        ({"secondsUtcTS": -62_135_500_000_000}, None),
+        ({"secondsUtcTS": -62_135_596_800_001}, "bad_time"),
+        ({"secondsUtcTS": -5}, None),
+        ({"secondsUtcTS": 12.75}, None),
         ({"properties": "text"}, "bad_container"),
         ({"properties": [1]}, "bad_container"),
         ({"page": "text"}, "bad_container"),
@@ -245,4 +255,4 @@ def test_single_records_of_a_stream_source(spark):
     found = {r["sequence_number"]: r["error"] for r in decode_records(df).collect()}
     assert found == {"1": None, "2": "bad_base64", "3": "no_data", "4": "bad_json"}
     event = normalize_event(decode_records(df.limit(1)), "stream").first()
-    assert event["event_id"] == f"19b0a5fb_{MILLIS}_1"
+    assert event["event_id"] == f"visit-4_{MILLIS}_1"

@@ -50,7 +50,7 @@ def test_partitioned_write_prunes(spark, tmp_path):
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
     assert read.count() == 10
-    assert t.list_partitions(t.read_events(spark, path)).count() == 3
+    assert t.list_partitions(spark, path).count() == 3
 
 
 def test_hot_partition_is_split_on_write(spark, tmp_path):
@@ -184,3 +184,71 @@ def test_shared_folder_is_read_from_the_session(spark):
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError):
         shared_folder(FakeSession("yarn"))
+
+
+def parted(spark, path):
+    return {(str(r[0]), r[1]) for r in t.list_partitions(spark, path).collect()}
+
+
+def test_erasing_on_storage_drops_emptied_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = dt.date(2024, 1, 5)
+    table = [("a", "u1", day, "unit"), ("b", "u2", day, "unit"), ("c", "u1", day, "only: u1/?"), ("d", None, day, "unit"), ("e", "u1", None, None)]
+    events = spark.createDataFrame(table, "event_id string, anonymous_id string, event_date date, space_type string")
+    t.write_events(events, path)
+    t.erase_on_storage(spark, path, spark.createDataFrame([("u1",), (None,), ("nobody",)], "anonymous_id string"))
+    assert {r["event_id"] for r in spark.read.parquet(path).collect()} == {"b", "d"}
+    assert parted(spark, path) == {("2024-01-05", "unit")}
+    t.erase_on_storage(spark, path, spark.createDataFrame([("nobody",)], "anonymous_id string"))
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_retention_drops_folders(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    t.write_events(spark.createDataFrame([(str(d), d, "unit") for d in days], "event_id string, event_date date, space_type string"), path)
+    t.retain_on_storage(spark, path, days[1])
+    assert parted(spark, path) == {("2024-01-02", "unit"), ("2024-01-03", "unit")}
+    assert not (tmp_path / "t" / "event_date=2024-01-01").exists() or not list((tmp_path / "t" / "event_date=2024-01-01").rglob("*.parquet"))
+
+
+def test_an_interrupted_replacement_is_finished_or_forgotten(spark, tmp_path, monkeypatch):
+    path, day = str(tmp_path / "t"), dt.date(2024, 1, 5)
+    rows = lambda *x: spark.createDataFrame([(i, day, s) for i, s in x], "event_id string, event_date date, space_type string")
+    t.write_events(rows(("a", "unit"), ("b", "tour"), ("c", "gone")), path)
+    whole = {("A", "unit"), ("B", "tour")}
+    now = lambda: {(r["event_id"], r["space_type"]) for r in spark.read.parquet(path).collect()}
+    old = [f"{path}/event_date=2024-01-05/space_type={s}" for s in ("unit", "tour", "gone")]
+    old = [f"file:{f}" for f in old]
+    # before the plan is written: the table stays as it was
+    monkeypatch.setattr(t, "_folders", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        t.replace_partitions(spark, path, rows(("A", "unit"), ("B", "tour")), old)
+    assert now() == {("a", "unit"), ("b", "tour"), ("c", "gone")}
+    monkeypatch.undo()
+    # between two swaps: a later call ends it
+    real, calls = t.resume_replacement, []
+    monkeypatch.setattr(t, "resume_replacement", lambda *a: calls.append(a))
+    t.replace_partitions(spark, path, rows(("A", "unit"), ("B", "tour")), old, expected=2)
+    monkeypatch.undo()
+    target = tmp_path / "t" / "event_date=2024-01-05" / "space_type=unit"
+    for f in target.iterdir():
+        f.unlink()
+    target.rmdir()
+    (tmp_path / "t" / t.STAGED / "rows" / "event_date=2024-01-05" / "space_type=unit").rename(target)
+    real(spark, path)
+    assert now() == whole and not (tmp_path / "t" / t.STAGED).exists()
+    real(spark, path)
+    with pytest.raises(ValueError):
+        t.replace_partitions(spark, path, rows(("A", "unit")), old, expected=2)
+    assert now() == whole
+
+
+def test_restore_removes_foreign_partitions(spark, tmp_path):
+    backup, path, day = str(tmp_path / "b"), str(tmp_path / "t"), dt.date(2024, 1, 5)
+    rows = lambda *x: spark.createDataFrame([(i, day, s) for i, s in x], "event_id string, event_date date, space_type string")
+    t.write_events(rows(("a", "unit"), ("b", "tour")), backup)
+    t.write_events(rows(("x", "junk"), ("a", "unit")), path)
+    t.restore_partition(spark, backup, path, day)
+    assert {r["event_id"] for r in spark.read.parquet(path).collect()} == {"a", "b"}
+    assert parted(spark, path) == {("2024-01-05", "unit"), ("2024-01-05", "tour")}

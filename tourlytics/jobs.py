@@ -1,7 +1,7 @@
 """The jobs a deployment runs: historical load, mart refresh, maintenance and reports.
 
-Each step reads a written table and writes the next one. Steps that read their input twice (sequencing
-does) so never repeat the step before, and a lost executor costs only tasks of the running step.
+Each step reads a written table and writes the next one, so no step repeats the one before, and a lost
+executor costs only tasks of the running step.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.filters import valid_events
-from .operators.sequencing import build_web_events, choose_slice_seconds
+from .operators.sequencing import SLICE_SECONDS, build_web_events
 from .operators.session_metrics import session_metrics_v2, session_metrics_v3
 from .plans.events import fact_from_web_events
 from .plans.journey import daily_report, user_journey_analysis
@@ -28,7 +28,10 @@ from .schemas import (
 )
 from .sources.normalize import normalize_event
 from .sources.raw import decode_lines, read_raw_lines
-from .sources.tables import compact_partitions, write_events, write_mart, write_report
+from .session import drop_path, working_path
+from .sources.tables import append_new, compact_partitions, write_events, write_mart, write_report
+
+REJECT_KEY = ["payload", "kinesis_sequence_number", "kinesis_partition_key"]
 
 
 @dataclass(frozen=True)
@@ -49,24 +52,30 @@ def load_history(
     lines_path: str,
     tables: Tables,
     quality: str = "tiered_v2",
-    slice_seconds: int | None = None,
+    slice_seconds: int = SLICE_SECONDS,
     ingest_time: Column | None = None,
 ) -> None:
     """Archived lines to ``web_events`` and ``session_metrics``; rejects go to ``rejected_records``.
 
-    Input is decoded once, into ``landed_events`` with its rejects, and everything else reads that.
-    The slice width of the session windows is found from the data unless it is given.
+    It can be repeated: documents are merged into ``landed_events`` by event id and rejects into
+    ``rejected_records`` by their content, so an archive loaded twice, or one that overlaps another, adds
+    nothing twice. The event and session tables are then made anew from all that has landed, as a session
+    may span archives. Input is decoded once, into a folder that is dropped at the end.
     """
     decoded = decode_lines(read_raw_lines(spark, lines_path))
-    landed = normalize_event(decoded, "batch", ingest_time)
-    write_events(landed, tables.path("landed_events"), mode="overwrite")
-    table = tables.read(spark, "landed_events")
-
-    write_mart(table.where(F.col("error").isNotNull()), tables.path("rejected_records"))
-    valid = valid_events(table.where(F.col("error").isNull()).drop("error"), allow_user_id=True)
-    width = slice_seconds or choose_slice_seconds(valid)
-    clean = build_web_events(valid, quality, slice_seconds=width)
-    write_events(conform(clean, WEB_EVENTS_ENRICHED), tables.path("web_events"))
+    landing = working_path(spark, "landing")
+    normalize_event(decoded, "batch", ingest_time, keep=["payload"]).write.parquet(landing)
+    try:
+        landed = spark.read.parquet(landing)
+        append_new(spark, tables.path("landed_events"), landed.where("error is null").drop("error", "payload"))
+        said = F.concat_ws("|", "error", *[F.coalesce(c, F.lit("")) for c in REJECT_KEY])
+        rejects = landed.where("error is not null").withColumn("reject_id", F.md5(said))
+        append_new(spark, tables.path("rejected_records"), rejects, "reject_id", ["error"], None)
+    finally:
+        drop_path(spark, landing)
+    valid = valid_events(tables.read(spark, "landed_events"), allow_user_id=True)
+    clean = build_web_events(valid, quality, slice_seconds=slice_seconds)
+    write_events(conform(clean, WEB_EVENTS_ENRICHED), tables.path("web_events"), mode="overwrite")
 
     sessions = session_metrics_v2(tables.read(spark, "web_events"))
     stamped = sessions.withColumn("processed_timestamp", F.current_timestamp())
@@ -78,16 +87,15 @@ def refresh_marts(
     tables: Tables,
     as_of,
     then,
-    start="2024-01-01",
+    start,
     exclude_bots: bool = True,
-    slice_seconds: int | None = None,
+    slice_seconds: int = SLICE_SECONDS,
     min_segment: int = 10,
 ) -> None:
     """Staging and session views to the fact table, then the marts, each a full refresh."""
     web_events = tables.read(spark, "web_events")
-    width = slice_seconds or choose_slice_seconds(web_events)
     built = fact_from_web_events(
-        web_events, width, start=start, as_of=as_of, exclude_bots=exclude_bots
+        web_events, slice_seconds, start=start, as_of=as_of, exclude_bots=exclude_bots
     )
     write_events(built, tables.path("fct_web_events"), mode="overwrite")
     fact = tables.read(spark, "fct_web_events")

@@ -372,9 +372,21 @@ def check_schema_compatible(
     old_partitions: Sequence[str] = (),
     new_partitions: Sequence[str] = (),
 ) -> DataFrame:
-    """Counts removed or re-typed columns and a change of the partition columns."""
-    found = len(schema_changes(old, new)) + int(list(old_partitions) != list(new_partitions))
-    measured = new.sparkSession.range(1).select(F.lit(found).alias("observed"))
+    """Removed or re-typed columns, a change of the partition columns, and kept columns that lost their values.
+
+    A kept column that holds values in ``old`` and none in ``new`` counts too: a renamed or wrongly mapped
+    column keeps its name and type but not its content. Each table is read once, for counts.
+    """
+    broken = {name for name, _ in schema_changes(old, new)}
+    kept = [f.name for f in old.schema.fields if f.name not in broken]
+    filled = lambda df: df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_{k}") for k, c in enumerate(kept)], F.count(F.lit(1)).alias("_n"))
+    sides = filled(old).withColumn("_old", F.lit(True)).unionByName(filled(new).withColumn("_old", F.lit(False)))
+    of = lambda name, is_old: F.max(F.when(F.col("_old") == is_old, F.col(name)))
+    lost = [((of(f"_{k}", True) > 0) & (of(f"_{k}", False) == 0) & (of("_n", False) > 0)).cast("int") for k in range(len(kept))]
+    found = F.lit(len(broken) + int(list(old_partitions) != list(new_partitions)))
+    for part in lost:
+        found = found + part
+    measured = sides.agg(found.alias("observed"))
     return verdict(measured, "schema_compatible")
 
 

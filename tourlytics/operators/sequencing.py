@@ -93,7 +93,8 @@ def choose_slice_seconds(
 
 def sequence_sessions(events: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Position, first-event flag, next time and whole seconds on the page."""
-    stay = F.unix_timestamp("next_event_timestamp") - F.unix_timestamp("event_timestamp")
+    # Whole seconds, rounded down before 1970 too.
+    stay = F.unix_seconds("next_event_timestamp") - F.unix_seconds("event_timestamp")
     return (
         session_positions(events, slice_seconds)
         .withColumnsRenamed({"_rank": "session_event_sequence", "_next": "next_event_timestamp"})

@@ -13,8 +13,8 @@ from ..operators.sequencing import SLICE_SECONDS, session_boundaries
 
 def stage_events(
     web_events: DataFrame,
-    start="2024-01-01",
-    as_of="2024-01-31 00:00:00",
+    start,
+    as_of,
     exclude_bots: bool = True,
     min_quality: float = 0.5,
 ) -> DataFrame:

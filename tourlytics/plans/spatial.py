@@ -21,7 +21,7 @@ def _turned() -> Column:
     return F.col("coordinates").isNotNull()
 
 
-def spatial_events(fact: DataFrame, start="2024-01-01") -> DataFrame:
+def spatial_events(fact: DataFrame, start) -> DataFrame:
     """Events with a direction, a room or a community; only the columns the levels use."""
     direction = F.col("coordinates")
     return spatially_relevant(fact.where(F.col("event_date") >= date_at(start))).select(
@@ -137,7 +137,7 @@ def auth_impact(spatial: DataFrame) -> DataFrame:
     )
 
 
-def spatial_analytics(fact: DataFrame, start="2024-01-01") -> DataFrame:
+def spatial_analytics(fact: DataFrame, start) -> DataFrame:
     """The four levels stacked; a column a level lacks is a typed NULL."""
     spatial = spatial_events(fact, start)
     community = community_analytics(spatial).withColumn("analysis_level", F.lit("community_level"))

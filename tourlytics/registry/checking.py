@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import checks
 from ..operators.monitor import completeness
 from ..operators.sequencing import session_boundaries
@@ -323,10 +325,20 @@ def spread(spark, folder):
 
 @query(
     "check_schema_compatible",
-    verdict("schema_compatible", "o") + "FROM (SELECT 0 AS o)",
+    chain(
+        "fct",
+        """sc AS (SELECT (count(session_id) = 0)::INT + (count(page_path) = 0)::INT AS o FROM fct),
+sd AS (SELECT 1 + (count(session_id) = 0)::INT + (count(page_path) > 0)::INT AS o FROM fct)""",
+    )
+    + verdict("schema_compatible", "o")
+    + "FROM sc UNION ALL "
+    + verdict("schema_broken", "o")
+    + "FROM sd",
 )
 def schema(spark, folder):
-    """The fact must keep every column of the event table, with its type."""
-    return plain(
-        checks.check_schema_compatible(data.web_events(spark, folder), data.fact(spark, folder))
-    )
+    """The fact must keep every column of the event table, with type and content; a damaged copy must fail."""
+    events, fact = data.web_events(spark, folder), data.fact(spark, folder)
+    good = checks.check_schema_compatible(events, fact)
+    damaged = fact.drop("user_agent").withColumn("page_path", F.lit(None).cast("string"))
+    bad = checks.check_schema_compatible(events, damaged).replace("schema_compatible", "schema_broken")
+    return plain(good.unionByName(bad))

@@ -10,13 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.filters import valid_events
+from ..operators.filters import clean_traffic, valid_events
 from ..operators.sequencing import build_web_events, score_events
 from ..plans.events import fact_from_web_events, stage_events
 from ..sources.event_table import source_events
 from ..sources.tables import write_events
 from ..session import DEFAULTS, working_path
 
+START = "2024-01-01"
 AS_OF = "2024-01-31 00:00:00"
 THEN = "2024-01-30 00:00:00"
 
@@ -44,9 +45,8 @@ def written(spark: SparkSession, folder: str, name: str, build: Callable[[], Dat
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings the results depend on, for a session that was not built here."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
-        spark.conf.set(key, DEFAULTS[key])
+    """The one setting that results depend on, for a session that was not built here."""
+    spark.conf.set("spark.sql.session.timeZone", DEFAULTS["spark.sql.session.timeZone"])
 
 
 def source(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,24 +58,34 @@ def valid(spark: SparkSession, folder: str) -> DataFrame:
     return valid_events(source(spark, folder), allow_user_id=True)
 
 
-def scored(spark: SparkSession, folder: str) -> DataFrame:
+def scored_plan(spark: SparkSession, folder: str) -> DataFrame:
     return score_events(valid(spark, folder))
 
 
+def scored(spark: SparkSession, folder: str) -> DataFrame:
+    """All sequenced and scored events, robots too, as a table partitioned by day."""
+    return written(spark, folder, "scored_events", lambda: scored_plan(spark, folder))
+
+
 def web_events_plan(spark: SparkSession, folder: str) -> DataFrame:
     return build_web_events(valid(spark, folder))
 
 
+def web_events_path(spark: SparkSession, folder: str) -> str:
+    web_events(spark, folder)
+    return _written[(spark.sparkContext.applicationId, folder, "web_events")]
+
+
 def web_events(spark: SparkSession, folder: str) -> DataFrame:
-    return written(spark, folder, "web_events", lambda: web_events_plan(spark, folder))
+    return written(spark, folder, "web_events", lambda: clean_traffic(scored(spark, folder)))
 
 
 def staged(spark: SparkSession, folder: str) -> DataFrame:
-    return stage_events(web_events(spark, folder))
+    return stage_events(web_events(spark, folder), START, AS_OF)
 
 
 def fact_plan(spark: SparkSession, folder: str) -> DataFrame:
-    return fact_from_web_events(web_events(spark, folder))
+    return fact_from_web_events(web_events(spark, folder), start=START, as_of=AS_OF)
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:

@@ -244,7 +244,7 @@ FACT_COLS = [*WEB_COLS, "engagement_level", *BOUNDARY_COLS[3:-1], *FACT_ADDED]
 
 @query("fact_events", chain("fct") + f"SELECT {sql_cols(FACT_COLS)} FROM fct")
 def fact_events(spark, folder):
-    built = fact_from_web_events(data.web_events(spark, folder))
+    built = fact_from_web_events(data.web_events(spark, folder), start=data.START, as_of=data.AS_OF)
     return plain(built.select(*FACT_COLS))
 
 
@@ -333,14 +333,28 @@ _SPAN = (
     + f"""SELECT session_id, anonymous_id, {day("event_date")}, {_SPAN},
 count(DISTINCT space_id) AS unique_spaces_viewed,
 {big("sum(time_on_page_seconds)", "total_time_on_site_seconds")},
-{arr("list(space_type)", "space_types_viewed")},
+coalesce(array_to_string([x.key || ':' || x.value FOR x IN map_entries(histogram(space_type)
+  FILTER (WHERE space_type IS NOT NULL))], ','), '') AS space_type_counts,
 {_first("referrer", "user_agent", "timezone", "device_type", "region")}
 FROM web GROUP BY session_id, anonymous_id, event_date""",
 )
 def metrics_v1(spark, folder):
-    return plain(
-        sessions.session_metrics_v1(data.web_events(spark, folder)), drop=("space_type_counts",)
-    ).drop("space_type_counts")
+    rows = sessions.session_metrics_v1(data.web_events(spark, folder))
+    counts = F.transform("space_type_counts", lambda c: F.concat_ws(":", c["space_type"], c["events"].cast("string")))
+    return plain(rows.withColumn("space_type_counts", F.array_join(counts, ",")))
+
+
+@query(
+    "space_types_listed",
+    chain("web")
+    + f"""SELECT session_id, anonymous_id, {day("event_date")}, space_type, part,
+{arr("list(space_type)", "space_types_viewed")} FROM (SELECT *, (row_number() OVER (
+  PARTITION BY session_id, anonymous_id, event_date, space_type) - 1) // 3 AS part FROM web)
+WHERE space_type IS NOT NULL GROUP BY session_id, anonymous_id, event_date, space_type, part""",
+)
+def types_listed(spark, folder):
+    """The list in rows of three."""
+    return plain(sessions.space_types_listed(sessions.session_metrics_v1(data.web_events(spark, folder)), 3))
 
 
 @query(

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import valid_events
-from ..operators.sequencing import build_web_events
-from ..sources.normalize import edge_enrichment, normalize_event
+from ..operators.sequencing import build_web_events, sequence_sessions
+from ..jobs import Tables, load_history
+from ..sources.normalize import coordinates_json, edge_enrichment, normalize_event
 from ..sources.raw import (
     decode_lines,
+    decode_records,
     ingest_counts,
     read_raw_lines,
     split_quarantine,
@@ -34,6 +36,7 @@ def documents(events: DataFrame) -> DataFrame:
         F.col("page_path").alias("path"),
         F.col("page_title").alias("title"),
         F.col("url_search").alias("search"),
+        F.concat(F.lit("#h"), i % 7).alias("hash"),
         F.col("screen_width").alias("width"),
         F.col("screen_height").alias("height"),
     ]
@@ -41,6 +44,7 @@ def documents(events: DataFrame) -> DataFrame:
         F.col("space_id").alias("spaceId"),
         F.col("space_name").alias("spaceName"),
         F.col("space_type").alias("spaceType"),
+        F.concat(F.lit("tok"), i % 5).alias("spaceToken"),
     ]
     place = [
         F.col("room_id").alias("roomId"),
@@ -78,6 +82,7 @@ def documents(events: DataFrame) -> DataFrame:
     nested = F.struct(
         F.struct(F.col("mongodb_id").alias("$oid")).alias("_id"),
         created.alias("createdAt"),
+        F.date_format(F.col("created_at") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("updatedAt"),
         F.struct(F.col("anonymous_id").alias("anonymousId"), F.col("app_id").alias("appId")).alias(
             "metadata"
         ),
@@ -93,6 +98,11 @@ def documents(events: DataFrame) -> DataFrame:
         .when(i % 40 == 3, F.lit("[1, 2]"))
         .when(i % 40 == 4, F.regexp_replace("t", '"secondsUtcTS":([0-9]+)', '"secondsUtcTS":"$1"'))
         .when(i % 40 == 5, F.lit('{"sessionId": "s", "anonymousId": "a", "properties": "text"}'))
+        # Times in nanoseconds, beyond any whole number, before 1970, and with a fraction.
+        .when(i % 40 == 6, F.regexp_replace("t", '"secondsUtcTS":([0-9]+)', '"secondsUtcTS":$1000000'))
+        .when(i % 40 == 7, F.regexp_replace("t", '"secondsUtcTS":[0-9]+', '"secondsUtcTS":1e30'))
+        .when(i % 40 == 8, F.regexp_replace("t", '"secondsUtcTS":', '"secondsUtcTS":-'))
+        .when(i % 40 == 11, F.regexp_replace("t", '"secondsUtcTS":([0-9]+)', '"secondsUtcTS":$1.75'))
         .otherwise(F.col("t"))
     )
     base = events.withColumn("i", i).withColumn("t", text).withColumn("payload", damaged)
@@ -128,7 +138,7 @@ def raw_lines(spark, folder) -> DataFrame:
 
 def line_files(spark, folder) -> str:
     def write(path: str) -> None:
-        raw_line_plan(spark, folder).repartition(4).write.text(path)
+        raw_line_plan(spark, folder).write.text(path)
 
     return data.written_path(spark, folder, "raw_lines", write)
 
@@ -138,11 +148,13 @@ def ingest_time() -> Column:
 
 
 RAW = """
-num AS (SELECT CAST(substr(event_id, 2) AS BIGINT) AS n, * FROM src),
+num AS (SELECT CAST(substr(event_id, 2) AS BIGINT) AS n, * REPLACE (
+    if(CAST(substr(event_id, 2) AS BIGINT) % 40 = 8, -seconds_utc_ts, seconds_utc_ts) AS seconds_utc_ts)
+  FROM src),
 good AS (SELECT *, make_timestamp(seconds_utc_ts * 1000) AS tm,
     if(n % 10 = 9, NULL, kinesis_sequence_number) AS sq,
     if(n % 10 = 9, NULL, kinesis_partition_key) AS pk
-  FROM num WHERE n % 40 NOT IN (0, 1, 2, 3, 4, 5))"""
+  FROM num WHERE n % 40 > 7)"""
 
 _COMMON = f"""{ts("tm", "event_timestamp")}, {day("tm", "event_date")},
 CAST(hour(tm) AS BIGINT) AS event_hour, event_type, event_name, anonymous_id, user_id, session_id,
@@ -151,9 +163,10 @@ room_id, room_name, community, building, floorplan, pitch, yaw, hfov, user_agent
 timezone, coalesce(referrer, '') AS referrer, screen_width, screen_height, seconds_utc_ts,
 sq AS kinesis_sequence_number, pk AS kinesis_partition_key,
 if(n % 2 = 0, mongodb_id, NULL) AS mongodb_id,
-if(n % 2 = 0, strftime(tm, '%Y-%m-%d %H:%M:%S.%f'), NULL) AS created_at,
+if(n % 2 = 0, strftime(make_timestamp(abs(seconds_utc_ts) * 1000), '%Y-%m-%d %H:%M:%S.%f'), NULL)
+  AS created_at,
 '2024-02-01 00:00:00.000000' AS processed_timestamp"""
-_DROPPED = ("url_hash", "space_token", "updated_at", "properties_json", "error")
+_DROPPED = ("url_hash", "space_token", "updated_at", "properties_json", "error")  # see normalized_raw_fields
 
 
 def _normalized(spark, folder, layout: str) -> DataFrame:
@@ -190,6 +203,7 @@ def quarantined(spark, folder):
     chain("src", RAW)
     + """SELECT CASE n % 40 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'bad_base64' WHEN 2 THEN
 'empty_document' WHEN 3 THEN 'not_an_object' WHEN 4 THEN 'bad_time' WHEN 5 THEN 'bad_container'
+WHEN 6 THEN 'bad_time' WHEN 7 THEN 'bad_time'
 ELSE 'processed' END AS outcome, count(*) AS records FROM num GROUP BY 1""",
 )
 def counts(spark, folder):
@@ -220,6 +234,113 @@ def batch_layout(spark, folder):
     return plain(events.select(head, *[c for c in events.columns if c != "event_id"]).drop(*_DROPPED))
 
 
+@query(
+    "normalized_raw_fields",
+    chain("src", RAW)
+    + """SELECT seconds_utc_ts, '#h' || (n % 7) AS url_hash, 'tok' || (n % 5) AS space_token,
+if(n % 2 = 0, strftime(make_timestamp(abs(seconds_utc_ts) * 1000) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S.%f'), NULL)
+  AS updated_at, space_id AS json_space_id, room_name AS json_room_name, CAST(pitch AS VARCHAR) AS json_pitch,
+CAST(hfov AS VARCHAR) AS coordinates_hfov, (regexp_extract(session_id, '.*') IS NOT NULL) AS has_session,
+true AS id_is_stable FROM good""",
+)
+def raw_fields(spark, folder):
+    """What the typed columns do not show: the properties as they came, and a batch id that a second run repeats."""
+    events = _normalized(spark, folder, "batch")
+    again = _normalized(spark, folder, "batch").select(F.col("event_id").alias("again")).distinct()
+    of = lambda path: F.get_json_object("properties_json", path)
+    return plain(
+        events.join(again, F.col("event_id") == F.col("again"), "left").select(
+            "seconds_utc_ts", "url_hash", "space_token", "updated_at", of("$.spaceId").alias("json_space_id"),
+            of("$.roomName").alias("json_room_name"), of("$.coordinates.pitch").alias("json_pitch"),
+            F.get_json_object(coordinates_json(F.col("coordinates")), "$.hfov").alias("coordinates_hfov"),
+            F.col("session_id").isNotNull().alias("has_session"), F.col("again").isNotNull().alias("id_is_stable"),
+        )
+    )
+
+
+def _archive(spark, folder, name: str, wanted: Column) -> str:
+    """Line files of some of the documents, as in ``raw_line_plan``."""
+    docs = documents(data.source(spark, folder)).where(wanted)
+    i = F.col("i")
+    enveloped = to_envelopes(docs.where(i % 10 != 9), F.floor(i / 10), "i")
+    single = docs.where(i % 10 == 9).select(F.when(i % 20 == 9, F.concat(F.lit('"'), F.col("data"), F.lit('"'))).otherwise(F.col("payload")).alias("value"))
+    return data.written_path(spark, folder, name, lambda path: enveloped.unionByName(single).write.text(path))
+
+
+def repeated_load(spark, folder) -> Tables:
+    """An archive loaded twice, then one that overlaps it."""
+    i = F.col("i")
+    first = _archive(spark, folder, "archive_1", i % 3 != 0)
+    second = _archive(spark, folder, "archive_2", i % 2 == 0)
+
+    def load(root: str) -> None:
+        for archive in (first, first, second):
+            load_history(spark, archive, Tables(root), ingest_time=ingest_time())
+
+    return Tables(data.written_path(spark, folder, "repeated_load", load))
+
+
+LOADED = """
+loaded AS (SELECT * FROM good WHERE (n % 3 <> 0 OR n % 2 = 0) AND session_id IS NOT NULL
+  AND coalesce(anonymous_id, user_id) IS NOT NULL)"""
+
+
+@query(
+    "repeated_load",
+    chain("src", RAW, LOADED)
+    + f"""SELECT session_id, seconds_utc_ts, row_number() OVER (PARTITION BY session_id ORDER BY tm) AS place,
+count(*) OVER (PARTITION BY session_id) AS whole FROM loaded""",
+)
+def loaded(spark, folder):
+    """Ids stay unique and sessions whole, whatever is loaded again."""
+    landed = repeated_load(spark, folder).read(spark, "landed_events")
+    valid = sequence_sessions(valid_events(landed, allow_user_id=True))
+    sizes = valid.groupBy("session_id").agg(F.count_distinct("event_id").alias("whole"))
+    return plain(valid.join(sizes, "session_id").select("session_id", "seconds_utc_ts", F.col("session_event_sequence").alias("place"), "whole"))
+
+
+@query(
+    "repeated_load_sessions",
+    chain("src", RAW, LOADED)
+    + f"""SELECT session_id, max(place) AS last_place, count(*) AS events FROM (SELECT *,
+  row_number() OVER w AS place, CAST(coalesce(floor(epoch(lead(tm) OVER w)) - floor(epoch(tm)), 30) AS BIGINT) AS stay
+  FROM loaded WINDOW w AS (PARTITION BY session_id ORDER BY tm))
+WHERE stay >= 1 AND NOT coalesce(regexp_matches(lower(user_agent), 'bot|crawler|spider|scraper'), false)
+GROUP BY session_id""",
+)
+def loaded_sessions(spark, folder):
+    events = repeated_load(spark, folder).read(spark, "web_events")
+    return plain(events.groupBy("session_id").agg(F.max("session_event_sequence").alias("last_place"), F.count_distinct("event_id").alias("events")))
+
+
+@query(
+    "repeated_load_rejects",
+    chain("src", RAW)
+    + """SELECT CASE n % 40 WHEN 0 THEN 'bad_json' WHEN 1 THEN 'bad_base64' WHEN 2 THEN 'empty_document'
+WHEN 3 THEN 'not_an_object' WHEN 5 THEN 'bad_container' ELSE 'bad_time' END AS error, count(*) AS records
+FROM num WHERE n % 40 < 8 AND (n % 3 <> 0 OR n % 2 = 0) GROUP BY 1""",
+)
+def loaded_rejects(spark, folder):
+    """Rejects of both archives, once each."""
+    rejects = repeated_load(spark, folder).read(spark, "rejected_records")
+    return rejects.groupBy("error").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query(
+    "record_ingest",
+    chain("src", RAW)
+    + f"""SELECT seconds_utc_ts, session_id, kinesis_sequence_number FROM (
+  SELECT * REPLACE (num.kinesis_sequence_number AS kinesis_sequence_number) FROM num
+  WHERE n % 40 > 7)""",
+)
+def record_ingest(spark, folder):
+    """The same documents as single records of a stream source, by columns."""
+    docs = documents(data.source(spark, folder))
+    events = normalize_event(decode_records(docs.select("sequence_number", "partition_key", "data")), "stream", ingest_time())
+    good = events.where(F.col("error").isNull())
+    return plain(good.select("seconds_utc_ts", "session_id", "kinesis_sequence_number"))
+
+
 @query(
     "edge_events",
     chain("src", RAW)

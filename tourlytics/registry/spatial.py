@@ -90,7 +90,7 @@ def _cols(text: str, doubles: str) -> str:
 
 
 def _spatial(spark, folder):
-    return spatial.spatial_events(data.fact(spark, folder))
+    return spatial.spatial_events(data.fact(spark, folder), data.START)
 
 
 @query(
@@ -203,4 +203,4 @@ def _mart_cols() -> str:
     + f"SELECT {_mart_cols()} FROM lev",
 )
 def analytics(spark, folder):
-    return plain(spatial.spatial_analytics(data.fact(spark, folder)))
+    return plain(spatial.spatial_analytics(data.fact(spark, folder), data.START))

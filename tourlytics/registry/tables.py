@@ -119,13 +119,8 @@ def compacted(spark, folder):
     path = working_path(spark, "compacted")
     events = data.web_events(spark, folder).select(*_SHORT)
     part = F.pmod(F.xxhash64("event_id"), F.lit(4))
-    (
-        events.withColumn("_p", part)
-        .repartition(4, "_p")
-        .drop("_p")
-        .write.partitionBy("event_date", "space_type")
-        .parquet(path)
-    )
+    for k in range(4):
+        events.where(part == k).write.mode("append").partitionBy("event_date", "space_type").parquet(path)
     tables.compact_partitions(spark, path, "2024-01-20")
     rows = spark.read.parquet(path).groupBy("event_date", "space_type").agg(
         F.count(F.lit(1)).alias("rows")
@@ -159,7 +154,7 @@ def staging(spark, folder):
     chain("web") + f"SELECT DISTINCT {day('event_date')}, space_type FROM web",
 )
 def partitions(spark, folder):
-    return plain(tables.list_partitions(data.web_events(spark, folder)))
+    return plain(tables.list_partitions(spark, data.web_events_path(spark, folder)))
 
 
 _STATS = ["anonymous_id", "space_type", "session_event_sequence"]
@@ -170,13 +165,18 @@ _STATS = ["anonymous_id", "space_type", "session_event_sequence"]
     chain("web")
     + " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls,
-CAST(min({c}) AS VARCHAR) AS smallest, CAST(max({c}) AS VARCHAR) AS largest FROM web"""
+CAST(min({c}) AS VARCHAR) AS smallest, CAST(max({c}) AS VARCHAR) AS largest,
+true AS estimate_holds FROM web"""
         for c in _STATS
     ),
 )
 def stats(spark, folder):
-    """Without the distinct estimate, which is approximate."""
-    return tables.column_stats(data.web_events(spark, folder), _STATS).drop("distinct_estimate")
+    """The distinct estimate is compared with the exact number, to three times its error."""
+    events = data.web_events(spark, folder)
+    exact = events.agg(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in _STATS])).alias("e"))
+    found = tables.column_stats(events, _STATS).join(exact.select("e.*"), "column_name")
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.15 * F.col("exact"))
+    return found.select("column_name", "rows", "nulls", "smallest", "largest", near.alias("estimate_holds"))
 
 
 @query(
@@ -196,12 +196,13 @@ def erased(spark, folder):
     chain("web") + f"SELECT {day('event_date')}, space_type, count(*) AS rows FROM web GROUP BY ALL",
 )
 def restored(spark, folder):
-    """A day is damaged in a copy of the table, then put back from the original."""
+    """A day is damaged in a copy of the table, by loss and by a foreign space type, then put back."""
     events = data.web_events(spark, folder).select(*_SHORT)
     backup, path = working_path(spark, "backup"), working_path(spark, "restored")
     tables.write_events(events, backup)
     bad_day = F.col("event_date") == date_at("2024-01-15")
-    tables.write_events(events.where(~bad_day | (F.col("page_path") == "/home")), path)
+    junk = events.where(bad_day).limit(5).withColumn("space_type", F.lit("junk"))
+    tables.write_events(events.where(~bad_day | (F.col("page_path") == "/home")).unionByName(junk), path)
     tables.restore_partition(spark, backup, path, "2024-01-15")
     table = spark.read.parquet(path)
     return plain(table.groupBy("event_date", "space_type").agg(F.count(F.lit(1)).alias("rows")))
@@ -218,6 +219,37 @@ def retained(spark, folder):
     return plain(kept.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows")))
 
 
+@query(
+    "erased_on_storage",
+    chain("web")
+    + f"""SELECT {day("event_date")}, space_type, count(*) AS rows FROM web
+WHERE coalesce(anonymous_id, '') NOT IN ('u0', 'u3') GROUP BY ALL""",
+)
+def erased_files(spark, folder):
+    """A subject is the only visitor of a partition, which goes; counted from what is on storage."""
+    path = working_path(spark, "erase")
+    events = data.web_events(spark, folder).select(*_SHORT, "anonymous_id")
+    alone = events.where("anonymous_id = 'u3'").limit(3).withColumn("space_type", F.lit("only u3"))
+    tables.write_events(events.unionByName(alone), path)
+    tables.erase_on_storage(spark, path, spark.createDataFrame([("u0",), ("u3",), (None,)], "anonymous_id string"))
+    left = spark.read.parquet(path).groupBy("event_date", "space_type").agg(F.count(F.lit(1)).alias("rows"))
+    return plain(tables.list_partitions(spark, path).join(left, ["event_date", "space_type"]))
+
+
+@query(
+    "retained_on_storage",
+    chain("web")
+    + f"""SELECT {day("event_date")}, space_type, count(*) AS rows FROM web
+WHERE event_date >= DATE '2024-01-21' GROUP BY ALL""",
+)
+def retained_files(spark, folder):
+    path = working_path(spark, "retain")
+    tables.write_events(data.web_events(spark, folder).select(*_SHORT), path)
+    tables.retain_on_storage(spark, path, "2024-01-21")
+    left = spark.read.parquet(path).groupBy("event_date", "space_type").agg(F.count(F.lit(1)).alias("rows"))
+    return plain(tables.list_partitions(spark, path).join(left, ["event_date", "space_type"]))
+
+
 @query(
     "written_report",
     chain("fct")

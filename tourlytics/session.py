@@ -22,6 +22,7 @@ DEFAULTS = {
 }
 
 _local_scratch: dict[str, str] = {}
+_working_roots: set[str] = set()
 
 
 def build_session(app: str = "tourlytics", master: str | None = None, **conf) -> SparkSession:
@@ -48,7 +49,32 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder or file, wherever Spark can reach it; one that is not there is fine."""
+    files, place = file_system(spark, path)
+    files.delete(place, True)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that system takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
 def working_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; no two calls return the same one."""
+    """A fresh path below the shared folder; no two calls return the same one.
+
+    Working folders belong to their application and go when its driver process ends; a driver that is
+    killed leaves ``tourlytics/<application id>`` to be deleted by hand.
+    """
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/tourlytics/{app}/{name}-{uuid.uuid4().hex[:12]}"
+    root = f"{shared_folder(spark)}/tourlytics/{app}"
+    if root not in _working_roots:
+        _working_roots.add(root)
+        atexit.register(_drop_at_end, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _drop_at_end(spark: SparkSession, root: str) -> None:
+    if spark.sparkContext._jsc is not None:  # not stopped yet
+        drop_path(spark, root)

@@ -6,6 +6,8 @@ Values are read as text and typed with ``try_cast``, so a wrong type gives NULL
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,7 @@ PAGE_FIELDS = [
 ]
 PLACE_FIELDS = ["roomId", "roomName", "community", "building", "floorplan", "coordinates"]
 BAD_TIME = "bad_time"
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999  # the years 1 to 9999
 BAD_CONTAINER = "bad_container"
 CONTAINERS = ["eventData", "properties", "page", "os"]
 
@@ -79,12 +82,14 @@ def normalize_event(
     decoded: DataFrame,
     layout: str = "batch",
     ingest_time: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Events in the columns of the event table, plus ``error`` for rejected documents.
 
     ``layout`` selects what differs between the flows: ``batch``, ``stream`` or ``edge``. It fixes the
     form of the event id; and a time of 0 counts as missing in ``batch`` only. A missing time becomes
-    the ingest time.
+    the ingest time; one outside the years 1 to 9999 is an error. ``keep`` names columns of the decoded
+    record to keep beside the event.
     """
     if layout not in ("batch", "stream", "edge"):
         raise ValueError(f"unknown layout: {layout}")
@@ -118,8 +123,11 @@ def normalize_event(
             F.nullif(_whole(on_page(name)), F.lit(0)), F.nullif(_whole(props[name]), F.lit(0))
         )
 
-    given = F.nullif(F.col("_ms"), F.lit(0.0)) if layout == "batch" else F.col("_ms")
-    millis = F.coalesce(given.cast("bigint"), F.unix_millis(now))
+    # A number of any size or sign gives a time or is rejected; none fails the job.
+    whole = F.col("_ms").try_cast("bigint")
+    in_range = F.coalesce(whole.between(FIRST_MILLIS, LAST_MILLIS), F.lit(False))
+    given = F.nullif(whole, F.lit(0)) if layout == "batch" else whole
+    millis = F.coalesce(F.when(in_range, given), F.unix_millis(now))
     metadata = F.when(_object(doc["metadata"]), doc["metadata"])
     meta_visitor = F.get_json_object(metadata, "$.anonymousId")
     session, sequence = event["sessionId"], F.col("sequence_number")
@@ -138,7 +146,7 @@ def normalize_event(
         first_of(
             [
                 (wrong, BAD_CONTAINER),
-                (event["secondsUtcTS"].isNotNull() & F.col("_ms").isNull(), BAD_TIME),
+                (event["secondsUtcTS"].isNotNull() & ~in_range, BAD_TIME),
             ],
             None,
         ),
@@ -198,6 +206,7 @@ def normalize_event(
             wrapped_time("createdAt").alias("created_at"),
             wrapped_time("updatedAt").alias("updated_at"),
             error.alias("error"),
+            *keep,
         )
     )
 

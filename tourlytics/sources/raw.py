@@ -113,7 +113,7 @@ def _decoded(staged: DataFrame) -> DataFrame:
     parts = staged.select(
         "sequence_number",
         "partition_key",
-        F.coalesce("text", decoded).alias("payload"),
+        F.coalesce("text", decoded, "data").alias("payload"),  # what cannot be decoded stays as it came
         F.coalesce("error", F.when(F.col("data").isNotNull(), undecoded)).alias("_undecoded"),
     )
     body = F.trim("payload")

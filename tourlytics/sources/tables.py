@@ -7,14 +7,15 @@ from collections.abc import Iterable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.filters import date_at, timestamp_at
 from ..schemas import PARTITIONS
+from ..session import drop_path, file_system, working_path
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 EVENT_PARTITIONS = PARTITIONS["web_events"]
-BROADCAST_KEYS = 1_000_000  # keys of at most some 100 bytes: 100 MB
-PRUNED_DAYS = 1000  # days listed in a partition filter; more are read without it
+STAGED = "_staged"  # folder beside a table's partitions in which a replacement waits; readers skip it
 
 
 # ---- Scans ------------------------------------------------------------------------------------
@@ -117,15 +118,10 @@ def latest_per_key(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFr
 def new_rows(
     target: DataFrame, batch: DataFrame, key: str = "event_id", order_cols: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of the batch whose key the target lacks, one per key.
-
-    The target is first reduced to the keys it shares with the batch. That join has the small batch
-    as its build side (or a runtime filter), so the large target need not be shuffled for it.
-    """
-    order = list(order_cols) or [c for c in ("processed_timestamp", "event_timestamp") if c in batch.columns]
+    """Rows of the batch whose key the target lacks, one per key; both sides are read once."""
+    order = list(order_cols) or _recency(batch)
     unique = latest_per_key(batch, key, order) if order else batch.dropDuplicates([key])
-    known = target.select(key).join(unique.select(key), key, "left_semi").distinct()
-    return unique.join(known, key, "left_anti")
+    return unique.join(target.select(key), key, "left_anti")
 
 
 def merge_insert_only(
@@ -143,28 +139,29 @@ def append_new(
     partitions: Sequence[str] = tuple(EVENT_PARTITIONS),
     day: str | None = "event_date",
 ) -> None:
-    """Insert-only merge of a batch (best persisted) into a table on storage.
+    """Insert-only merge of a batch into a table on storage.
 
-    ``day`` names the partition column that the key fixes, as an id that holds the event time fixes
-    its day; then only the days of the batch are read from the target. Pass None if it does not.
-    The keys of a batch of at most ``BROADCAST_KEYS`` rows are sent to the target's tasks, so that
-    the target is not shuffled; a larger batch is joined by shuffling both key sets.
+    The batch is evaluated once: its rows, one per key, are written to the shared folder and read from
+    there. ``day`` names the partition column that the key fixes, as an id that holds the event time
+    fixes its day; then only the target's days from the batch's first to its last are read. Pass None
+    if it does not.
     """
     unique = latest_per_key(batch, key, _recency(batch))
     target, on = read_if_exists(spark, path), [key]
     if target is None:
         write_events(unique, path, partitions)
         return
-    if day:
-        on = [key, day]
-        days = [r[0] for r in batch.select(day).distinct().limit(PRUNED_DAYS + 1).collect()]
-        if len(days) <= PRUNED_DAYS:
-            target = target.where(F.col(day).isin(days))
-    wanted = batch.select(*on).distinct()
-    if batch.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
-    known = target.select(*on).join(wanted, on, "left_semi").distinct()
-    write_events(unique.join(known, on, "left_anti"), path, partitions)
+    landed = working_path(spark, "append")
+    unique.write.parquet(landed)
+    try:
+        rows = spark.read.schema(unique.schema).parquet(landed)
+        if day:
+            on = [key, day]
+            first, last = rows.agg(F.min(day), F.max(day)).first()
+            target = target.where(F.col(day).between(F.lit(first), F.lit(last)) | F.col(day).isNull())
+        write_events(rows.join(target.select(*on), on, "left_anti"), path, partitions)
+    finally:
+        drop_path(spark, landed)
 
 
 def _recency(df: DataFrame) -> list[str]:
@@ -202,19 +199,99 @@ def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _listing(spark: SparkSession, path: str, partitions: Sequence[str]) -> DataFrame:
+    """One row per data file: partition values, folder and length. No file content is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.select(*partitions, F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "length")
+
+
 def partition_files(
     spark: SparkSession, path: str, partitions: Sequence[str] = tuple(EVENT_PARTITIONS)
 ) -> DataFrame:
-    """Files and bytes per partition, from the listing; no file content is read."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-        .select(*partitions, "length")
-    )
-    return files.groupBy(*partitions).agg(
+    """Files and bytes per partition, from the listing."""
+    return _listing(spark, path, partitions).groupBy(*partitions).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
 
 
+def list_partitions(
+    spark: SparkSession, path: str, columns: Sequence[str] = tuple(EVENT_PARTITIONS)
+) -> DataFrame:
+    """The partitions that hold files, from the listing."""
+    return _listing(spark, path, columns).select(*columns).distinct()
+
+
+# ---- Replacing partitions ---------------------------------------------------------------------
+
+
+def replace_partitions(
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    old: Sequence[str],
+    partitions: Sequence[str] = tuple(EVENT_PARTITIONS),
+    expected: int | None = None,
+) -> None:
+    """Puts ``rows`` in the place of the partition folders ``old`` and of those the rows fall into.
+
+    The new partitions are written to a folder of their own inside the table, which readers skip, and
+    counted if a number is expected; then a list of what to swap is written, and each folder is swapped
+    by a delete and a rename. An old folder without new rows is dropped. If the driver dies before the
+    list is there, the table is as before; if it dies after, ``resume_replacement`` does the rest. Run
+    it while nothing else writes to these partitions. The driver handles partition folders, not rows.
+    """
+    resume_replacement(spark, path)
+    staged = f"{path.rstrip('/')}/{STAGED}"
+    drop_path(spark, staged)
+    new = f"{staged}/rows"
+    rows.write.option("compression", "zstd").partitionBy(*partitions).parquet(new)
+    if expected is not None:
+        written = sum(r[0] for r in spark.read.schema(rows.schema).parquet(new).groupBy().count().collect())
+        if written != expected:
+            drop_path(spark, staged)
+            raise ValueError(f"{written} rows staged, {expected} expected")
+    base = [_relative(spark, path, f) for f in old]
+    into = [_relative(spark, new, f) for f in _folders(spark, new)]
+    plan = [(f, f in set(into)) for f in sorted({*base, *into})]
+    spark.createDataFrame(plan, "folder string, filled boolean").coalesce(1).write.json(f"{staged}/plan")
+    resume_replacement(spark, path)
+
+
+def resume_replacement(spark: SparkSession, path: str) -> None:
+    """Ends a replacement that has been planned but not finished; does nothing without one."""
+    root = path.rstrip("/")
+    files, done = file_system(spark, f"{root}/{STAGED}/plan/_SUCCESS")
+    if not files.exists(done):
+        return
+    for row in spark.read.schema("folder string, filled boolean").json(f"{root}/{STAGED}/plan").collect():
+        place = lambda *parts: spark._jvm.org.apache.hadoop.fs.Path("/".join(parts))
+        new, target = place(root, STAGED, "rows", row["folder"]), place(root, row["folder"])
+        if row["filled"] and not files.exists(new):
+            continue  # swapped before
+        files.delete(target, True)
+        if row["filled"]:
+            files.mkdirs(target.getParent())
+            if not files.rename(new, target):
+                raise OSError(f"cannot move {new} to {target}")
+    drop_path(spark, f"{root}/{STAGED}")
+    spark.catalog.refreshByPath(root)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Partition folders that hold files."""
+    try:
+        return [r[0] for r in _listing(spark, path, ()).select("folder").distinct().collect()]
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+
+
+def _relative(spark: SparkSession, base: str, folder: str) -> str:
+    files, place = file_system(spark, base)
+    return folder[len(files.makeQualified(place).toString().rstrip("/")) + 1 :]
+
+
 def compact_partitions(
     spark: SparkSession,
     path: str,
@@ -225,40 +302,30 @@ def compact_partitions(
 ) -> None:
     """Rewrites the partitions from a day on into files near the target size; keeps every row.
 
-    A partition of n target sizes is spread over n tasks by a hash of ``spread_by``. The table of
-    partition sizes is broadcast: it has one row per partition folder, a listing the driver holds
-    anyway to plan the scan. Run it while nothing else writes to these partitions.
+    A partition of n target sizes is spread over n tasks by a hash of ``spread_by``. The new files are
+    counted before they take the old ones' place; see ``replace_partitions``.
     """
+    resume_replacement(spark, path)
     day = partitions[0]
-    sizes = (
-        partition_files(spark, path, partitions)
-        .where((F.col(day) >= date_at(since)) & (F.col("files") > 1))
-        .withColumn("_parts", F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int"))
-        .drop("files", "bytes")
-    )
-    files = sizes.agg(F.sum("_parts")).first()[0]
-    if files is None:
+    files = _listing(spark, path, partitions).where(F.col(day) >= date_at(since))
+    sizes = files.groupBy(*partitions, "folder").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    sizes = sizes.where("files > 1").withColumn("_parts", F.ceil(F.col("bytes") / F.lit(target_bytes)).cast("int"))
+    plan = sizes.select(*partitions, "folder", "_parts").collect()  # one row per partition folder
+    if not plan:
         return
     rows = spark.read.parquet(path)
-    old = (
-        rows.where(F.col(day) >= date_at(since))
-        .join(F.broadcast(sizes), list(partitions))
-        .withColumn("_part", F.pmod(F.xxhash64(spread_by), F.col("_parts")))
+    schema = [*[rows.schema[p] for p in partitions]]
+    wanted = spark.createDataFrame(
+        [(*r[: len(partitions)], r["_parts"]) for r in plan], T.StructType([*schema, T.StructField("_parts", T.IntegerType())])
     )
-    (
-        old.repartition(files, *partitions, "_part")
-        .drop("_parts", "_part")
-        .select(*rows.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(*partitions)
-        .parquet(path)
+    same = [F.col(f"t.{p}").eqNullSafe(F.col(f"w.{p}")) for p in partitions]
+    old = (
+        rows.where(F.col(day) >= date_at(since)).alias("t")
+        .join(wanted.alias("w"), same)
+        .select("t.*", F.pmod(F.xxhash64(f"t.{spread_by}"), F.col("_parts")).alias("_part"))
     )
-
-
-def list_partitions(df: DataFrame, columns: Sequence[str] = tuple(EVENT_PARTITIONS)) -> DataFrame:
-    return df.select(*columns).distinct()
+    kept = old.repartition(sum(r["_parts"] for r in plan), *partitions, "_part").select(*rows.columns)
+    replace_partitions(spark, path, kept, [r["folder"] for r in plan], partitions, old.count())
 
 
 def column_stats(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -291,28 +358,52 @@ def erase_subject(events: DataFrame, subjects: DataFrame, key: str = "anonymous_
     return events.join(subjects.select(key).distinct(), key, "left_anti")
 
 
-def overwrite_partitions(
-    df: DataFrame, path: str, partitions: Sequence[str] = tuple(EVENT_PARTITIONS)
+def erase_on_storage(
+    spark: SparkSession,
+    path: str,
+    subjects: DataFrame,
+    key: str = "anonymous_id",
+    partitions: Sequence[str] = tuple(EVENT_PARTITIONS),
 ) -> None:
-    """Replaces exactly the partitions that occur in ``df``."""
-    (
-        clustered(df, partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    """Rewrites the partitions that hold rows of the subjects without them; one that is left empty goes.
+
+    A first pass over the key alone finds those partitions; only they are read whole.
+    """
+    resume_replacement(spark, path)
+    rows = spark.read.parquet(path)
+    wanted = subjects.select(key).where(F.col(key).isNotNull()).distinct()
+    hit = rows.select(*partitions, key).join(wanted, key, "left_semi").select(*partitions).distinct()
+    files = _listing(spark, path, partitions).select(*partitions, "folder").distinct()
+    same = [files[p].eqNullSafe(hit[p]) for p in partitions]
+    folders = [r["folder"] for r in files.join(hit, same, "left_semi").collect()]
+    if not folders:
+        return
+    held = spark.read.option("basePath", path).schema(rows.schema).parquet(*folders)
+    replace_partitions(spark, path, clustered(erase_subject(held, wanted, key).select(*rows.columns), partitions), folders, partitions)
 
 
 def restore_partition(
     spark: SparkSession, backup: str, path: str, day, partitions: Sequence[str] = tuple(EVENT_PARTITIONS)
 ) -> None:
-    """Puts one day of a snapshot copy back in place."""
-    copy = spark.read.parquet(backup).where(F.col(partitions[0]) == date_at(day))
-    overwrite_partitions(copy, path, partitions)
+    """Puts one whole day of a snapshot copy back in place; partitions of the day it does not have go."""
+    resume_replacement(spark, path)
+    is_day = F.col(partitions[0]) == date_at(day)
+    copy = spark.read.parquet(backup).where(is_day)
+    old = [r["folder"] for r in _listing(spark, path, partitions).where(is_day).select("folder").distinct().collect()]
+    replace_partitions(spark, path, clustered(copy, partitions), old, partitions, copy.count())
 
 
 def retain_since(df: DataFrame, day, column: str = "event_date") -> DataFrame:
     """Rows inside the retention period."""
     return df.where(F.col(column) >= date_at(day))
+
+
+def retain_on_storage(
+    spark: SparkSession, path: str, day, partitions: Sequence[str] = tuple(EVENT_PARTITIONS)
+) -> None:
+    """Drops the partitions of the days before the retention period; no file content is read."""
+    resume_replacement(spark, path)
+    old = _listing(spark, path, partitions).where(F.col(partitions[0]) < date_at(day))
+    for row in old.select("folder").distinct().collect():
+        drop_path(spark, row["folder"])
+    spark.catalog.refreshByPath(path)
