@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, phrases, pseudonyms, pstable, quotes, secret_scan, separators, simhash
+from . import decontaminate, langid, oracles, packing, phrases, pseudonyms, pstable, quotes, secret_scan, separators, simhash
 from .registry import query
 
 
@@ -16,7 +16,7 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-@query("op1_quote_links")
+@query("op1_quote_links", oracles.QUOTES)
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return quotes.conversations(_read(spark, folder, "conversations"))
 
@@ -26,13 +26,13 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return separators.counted(_read(spark, folder, "documents"))
 
 
-@query("op3_phrase_automata")
+@query("op3_phrase_automata", oracles.PHRASES)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = phrases.without_repeats(_read(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op4_prefix_filtered_join")
+@query("op4_prefix_filtered_join", oracles.LEAKS)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contaminated(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -72,6 +72,6 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return pseudonyms.pseudonymised(docs, DEMO_KEY)
 
 
-@query("op10_p_stable_hashing")
+@query("op10_p_stable_hashing", oracles.VECTORS)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pstable.linked(_read(spark, folder, "embeddings"))
