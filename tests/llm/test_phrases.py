@@ -24,8 +24,8 @@ def brute(rows, width):
         yield i, b" ".join(kept).decode(), len(words), len(gone)
 
 
-def check(spark, docs, width, block_bytes):
-    found = phrases.without_repeats(docs, width, block_bytes).collect()
+def check(spark, docs, width, block_bytes, ranges=phrases.RANGES):
+    found = phrases.without_repeats(docs, width, block_bytes, ranges).collect()
     assert all(sum(b - a for a, b in zip(r["removed"][::2], r["removed"][1::2])) == r["n_removed"] for r in found)
     got = [(r["doc_id"], r["text"], r["n_words"], r["n_removed"]) for r in found]
     expected = list(brute([(r["doc_id"], r["text"]) for r in docs.collect()], width))
@@ -50,7 +50,18 @@ def test_overlapping_passages(spark, seed):
             a = rng.randrange(len(p))
             words += p[a : a + rng.randint(1, 40)] + [rng.choice(["x", "y", f"u{i}"])] * rng.randint(0, 2)
         rows.append((rng.randrange(200), rng.choice([" ", "\n", " \t "]).join(words), None, None, None))
-    assert check(spark, documents(spark, rows), 6, rng.choice([200, 1000, 10**9])) > 0
+    assert check(spark, documents(spark, rows), 6, rng.choice([200, 1000, 10**9]), rng.choice([1, 3, 4096])) > 0
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 4096])
+def test_blocks_rise_with_the_ids(spark, ranges):
+    ids = [None, -(2**63), 2**63 - 1, *range(-50, 50), *range(10**15, 10**15 + 50), 7, 7]
+    docs = documents(spark, [(i, "x" * 10, None, None, None) for i in ids])
+    rows, blocks = phrases.blocks_of(docs, 100, ranges)
+    found = sorted((r["doc_id"], r["block"]) for r in rows.collect())
+    assert blocks == 16 and len({b for _, b in found}) > 2
+    assert [b for _, b in found] == sorted(b for _, b in found)
+    assert len(set(found)) == len(set(ids)) - 1
 
 
 def test_whole_table(spark, small):

@@ -29,6 +29,8 @@ BLOCK_BYTES = 8 << 20  # of text in a block, about; blocks grow in number only
 CODE = 3
 UNKNOWN = "\0" * CODE
 
+RANGES = 4096  # bounds of ids that are sent to tasks, at most
+
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
@@ -265,23 +267,33 @@ def _locate(width: int):
     return run
 
 
-def blocks_of(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """doc_id, text and block: blocks of consecutive ids, a like number of rows in each."""
+def blocks_of(docs: DataFrame, block_bytes: int, ranges: int = RANGES) -> tuple[DataFrame, int]:
+    """doc_id, text and block: blocks of consecutive ids whose numbers rise with the ids.
+
+    At most ``ranges`` bounds, which hold a like number of rows each, go to the tasks; where there are to be
+    more blocks, every range is cut into equal stretches of ids.
+    """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)).alias("doc_id"), "text")
     blocks = parts(text_bytes(rows), block_bytes)
-    bounds = np.empty(0, np.int64)
+    wide = min(blocks, ranges)
+    cuts = parts(blocks, wide)
+    bounds = np.zeros(1, np.int64)
     if blocks > 1:
-        shares = [k / blocks for k in range(1, blocks)]
-        bounds = np.unique(rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * blocks)).alias("b")).first()["b"])
+        shares = [k / wide for k in range(wide + 1)]
+        found = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * wide)).alias("b")).first()["b"]
+        bounds = np.unique(np.array(found or [0], np.int64))
 
     @F.pandas_udf("long")
     def block(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="right").astype(np.int64))
+        at = np.clip(np.searchsorted(bounds, ids.to_numpy(), side="right") - 1, 0, max(0, len(bounds) - 2))
+        low, high = bounds[at].astype(float), bounds[np.minimum(at + 1, len(bounds) - 1)].astype(float)
+        inside = np.floor((ids.to_numpy().astype(float) - low) / np.maximum(high - low, 1) * cuts)
+        return pd.Series(at * cuts + np.clip(inside, 0, cuts - 1).astype(np.int64))
 
     return rows.select("doc_id", "text", block("doc_id").alias("block")), blocks
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, ranges: int = RANGES) -> DataFrame:
     """doc_id, text of the words kept (one blank between), n_words, n_removed, removed (word spans, flat).
 
     A window is ``width`` consecutive words, parted by ASCII white space; a word goes if a window covers it
@@ -289,7 +301,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOC
     have no words; texts of fewer words than ``width`` stay whole. A null id comes before all others. Rows
     that share an id are one document: none is earlier than the other at the same place. No rows give none.
     """
-    rows, blocks = blocks_of(docs, block_bytes)
+    rows, blocks = blocks_of(docs, block_bytes, ranges)
     held = rows.groupBy("block").applyInArrow(_send(width, blocks), "bucket int, holder long, hashes binary")
     shared = held.groupBy("bucket").applyInArrow(_recurring, "source long, target long, hashes binary")
     passages = rows.groupBy("block").cogroup(shared.groupBy("source")).applyInArrow(
