@@ -21,14 +21,27 @@ def test_matches_numpy_with_null_groups_and_a_hot_group(spark):
     for k, o, v in rows:
         if v is not None:
             groups.setdefault((k, o), []).append(v)
-    for width in (0.5, 10.0, 1000.0):
-        got = {(r["k"], r["o"]): r for r in grouped_quantiles(df, ["k", "o"], "v", wanted, width).collect()}
+    for accuracy in (20, 100, 10_000):
+        got = {(r["k"], r["o"]): r for r in grouped_quantiles(df, ["k", "o"], "v", wanted, accuracy).collect()}
         assert set(got) == set(groups)
         for key, values in groups.items():
             for name, p in wanted.items():
                 assert abs(got[key][name] - np.quantile(values, p)) < 1e-9, (key, name)
 
 
+def test_a_million_different_values_in_one_group(spark):
+    """Exact at any size; the brackets hold a small part of the values."""
+    n = 1_000_000
+    df = spark.range(n).selectExpr("if(id % 50 = 0, 'b', 'a') k", "cast((id * 7919) % 1000003 as double) / 7 v")
+    wanted = {"q1": 0.25, "mid": 0.5, "q3": 0.75}
+    ids = np.arange(n)
+    values = (ids * 7919 % 1000003) / 7
+    for r in grouped_quantiles(df, ["k"], "v", wanted, 1000).collect():
+        mine = values[ids % 50 == 0] if r["k"] == "b" else values[ids % 50 != 0]
+        for name, p in wanted.items():
+            assert abs(r[name] - np.quantile(mine, p)) < 1e-6
+
+
 def test_join_keeps_groups_without_values(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, n int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, m int")

@@ -17,7 +17,7 @@ from .operators.session_metrics import session_metrics_v2, session_metrics_v3
 from .plans.events import fact_from_web_events
 from .plans.journey import daily_report, user_journey_analysis
 from .plans.snapshots import time_travel_analysis
-from .plans.spatial import spatial_analytics
+from .plans.spatial import spatial_analytics, spatial_cells, spatial_events
 from .schemas import (
     PARTITIONS,
     SNAPSHOT_ANALYSIS,
@@ -99,13 +99,16 @@ def refresh_marts(
     )
     write_events(built, tables.path("fct_web_events"), mode="overwrite")
     fact = tables.read(spark, "fct_web_events")
+    spatial = spatial_events(fact, start)
+    write_mart(spatial_cells(spatial), tables.path("spatial_cells"), ["analysis_date"])
+    cells = tables.read(spark, "spatial_cells")
 
     marts = {
         "session_metrics": session_metrics_v3(fact),
         "user_journey_analysis": conform(
             user_journey_analysis(fact, as_of, min_segment=min_segment, ordered=False), USER_JOURNEY
         ),
-        "spatial_analytics": conform(spatial_analytics(fact, start), SPATIAL_ANALYTICS),
+        "spatial_analytics": conform(spatial_analytics(cells, spatial), SPATIAL_ANALYTICS),
         "time_travel_analysis": conform(time_travel_analysis(fact, as_of, then), SNAPSHOT_ANALYSIS),
     }
     for name, mart in marts.items():

@@ -1,7 +1,8 @@
 """Exact grouped quantiles without holding a group in one task.
 
-Spark's ``percentile`` keeps every different value of a group in one buffer. Here equal values are
-counted first; then only the buckets of the value range that hold the wanted ranks are ordered.
+Spark's ``percentile`` keeps every different value of a group in one buffer. Here an estimate, which
+merges on the map side, brackets the wanted rank; values below the bracket are only counted, and only
+those inside it are ordered: a few ten-thousandths of the group, whatever its size or its values.
 """
 
 from __future__ import annotations
@@ -12,67 +13,51 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ACCURACY = 10_000  # of the estimates: their rank is wrong by a share of 1 / ACCURACY at most
+
 
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     wanted: dict[str, float],
-    width: float,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per key with the continuous quantiles ``wanted`` (name to probability).
 
-    ``width`` is the bucket size in units of the value. It bounds what one task orders (the different
-    values of a group inside one bucket) and does not change the result. Groups without a value are
-    absent. NULL keys form groups as in ``groupBy``.
+    ``accuracy`` sizes the brackets: about 6 / accuracy of a group's values are ordered for a quantile,
+    or all of a group of at most ``accuracy`` rows. The result does not depend on it. Groups without a
+    value are absent. NULL keys form groups as in ``groupBy``.
     """
     safe = [f"_k{at}" for at in range(len(keys))]
-    freq = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_v") / F.lit(float(width))))
-        # Stated here, as the join below implies it for one side only: the two uses of these counts
-        # then have the same plan, and the shuffle behind them runs once.
-        .where(F.col("_bucket").isNotNull())
-    )
-    group = Window.partitionBy(*keys)
-    buckets = (
-        freq.groupBy(*keys, "_bucket")
-        .agg(F.sum("_n").alias("_m"))
-        .select(
-            *[F.col(k).alias(s) for k, s in zip(keys, safe)],
-            F.col("_bucket").alias("_b"),
-            F.sum("_m").over(group).alias("_total"),
-            (F.sum("_m").over(group.orderBy("_bucket")) - F.col("_m")).alias("_start"),
-            "_m",
-        )
-    )
-
-    def holds(start: Column, n: Column) -> Column:
-        hit = F.lit(False)
-        for p in wanted.values():
-            for rank in _ranks(p):
-                hit = hit | ((rank >= start) & (rank < start + n))
-        return hit
-
-    chosen = buckets.where(holds(F.col("_start"), F.col("_m"))).drop("_m")
-    same = freq["_bucket"] == chosen["_b"]
-    for key, coded_key in zip(keys, safe):
-        same = same & freq[key].eqNullSafe(chosen[coded_key])
-    inside = Window.partitionBy(*safe, "_b").orderBy("_v")
-    placed = freq.join(chosen, same).withColumn(
-        "_from", F.col("_start") + F.sum("_n").over(inside) - F.col("_n")
-    )
-
-    def value_at(rank: Column) -> Column:
-        here = (rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_n"))
-        return F.max(F.when(here, F.col("_v")))
+    named = [F.col(k).alias(s) for k, s in zip(keys, safe)]
+    values = df.where(F.col(value).isNotNull()).select(*named, F.col(value).cast("double").alias("_v"))
+    shares = [min(1.0, max(0.0, p + side * 3 / accuracy)) for p in wanted.values() for side in (-1, 1)]
+    brackets = values.groupBy(*safe).agg(
+        F.count(F.lit(1)).alias("_total"), F.percentile_approx("_v", shares, accuracy).alias("_q")
+    ).withColumn("_q", F.when(F.col("_total") > accuracy, F.col("_q")))
+    freq = values.groupBy(*safe, "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+    parts = []
+    for i, (low, high) in enumerate(zip(shares[::2], shares[1::2])):
+        under = F.lit(False) if low == 0.0 else F.coalesce(F.col("_v") < F.col("_q")[2 * i], F.lit(False))
+        over = F.lit(False) if high == 1.0 else F.coalesce(F.col("_v") > F.col("_q")[2 * i + 1], F.lit(False))
+        inside = F.struct(F.lit(i).alias("i"), F.when(~under, F.col("_v")).alias("v"))
+        parts.append(F.when(~over, inside))
+    near = join_groups(freq, brackets, safe)
+    spread = near.select(*safe, "_total", "_n", F.explode(F.array_compact(F.array(*parts))).alias("p"))
+    counted = spread.groupBy(*safe, "_total", F.col("p.i").alias("_i"), F.col("p.v").alias("_w")).agg(F.sum("_n").alias("_n"))
+    along = Window.partitionBy(*safe, "_i").orderBy(F.col("_w").asc_nulls_first())
+    placed = counted.withColumn("_from", F.sum("_n").over(along) - F.col("_n"))
+
+    def value_at(i: int, rank: Column) -> Column:
+        here = (F.col("_i") == i) & (rank >= F.col("_from")) & (rank < F.col("_from") + F.col("_n"))
+        return F.max(F.when(here, F.col("_w")))
 
     low_high = []
-    for name, p in wanted.items():
+    for i, (name, p) in enumerate(wanted.items()):
         low, high = _ranks(p)
-        low_high += [value_at(low).alias(f"_{name}_low"), value_at(high).alias(f"_{name}_high")]
+        low_high += [value_at(i, low).alias(f"_{name}_low"), value_at(i, high).alias(f"_{name}_high")]
     found = placed.groupBy(*safe).agg(F.max("_total").alias("_total"), *low_high)
 
     def between(name: str, p: float) -> Column:

@@ -12,8 +12,9 @@ from ..operators.quantiles import grouped_quantiles, join_groups
 from ..schemas import SPATIAL_ANALYTICS, conform
 
 ROOM_KEYS = ["analysis_date", "community", "building", "space_name", "room_category"]
-SECONDS_WIDTH = 60.0  # bucket sizes of the exact quantiles, in seconds and degrees
-DEGREES_WIDTH = 0.5
+CELL_KEYS = [
+    *ROOM_KEYS, "room_name", "navigation_intensity", "session_id", "anonymous_id", "user_id",
+]
 _VIEWED_ROOMS = ["living_space", "bedroom", "kitchen", "bathroom", "outdoor_space"]
 
 
@@ -48,101 +49,132 @@ def spatial_events(fact: DataFrame, start) -> DataFrame:
     )
 
 
-def community_analytics(spatial: DataFrame) -> DataFrame:
-    rows = F.count(F.lit(1))
+def spatial_cells(spatial: DataFrame) -> DataFrame:
+    """One row per place, direction class, session and visitor, with counts and sums.
+
+    Every level but the exact quantiles is a roll-up of these rows, so distinct counts run over them and
+    not over events.
+    """
+    event, turned = F.col("navigation_event_type"), _turned()
+    intensity = classify.navigation_intensity(F.col("pitch_angle"), F.col("yaw_angle"))
+    averaged = {
+        "engagement": F.col("engagement_score"),
+        "time": F.col("time_on_page_seconds"),
+        "pitch": F.col("pitch_angle"),
+        "yaw": F.col("yaw_angle"),
+        "pitch_size": F.abs("pitch_angle"),
+        "yaw_size": F.abs("yaw_angle"),
+        "fov": F.col("field_of_view"),
+    }
+    sums = [F.sum(c).alias(f"{name}_sum") for name, c in averaged.items()]
+    counts = [F.count(c).alias(f"{name}_n") for name, c in averaged.items()]
+    return spatial.withColumn("navigation_intensity", F.when(turned, intensity)).groupBy(*CELL_KEYS).agg(
+        F.count(F.lit(1)).alias("events"),
+        count_if(turned).alias("turned"),
+        count_if(event == "position_change").alias("position_changes"),
+        count_if(event == "room_entry").alias("room_entries"),
+        count_if(F.col("engagement_score") >= 3).alias("strong"),
+        *sums,
+        *counts,
+    )
+
+
+def _total(name: str) -> Column:
+    return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
+
+
+def _mean(name: str) -> Column:
+    return F.try_divide(F.sum(f"{name}_sum").cast("double"), F.sum(f"{name}_n"))
+
+
+def community_analytics(cells: DataFrame) -> DataFrame:
+    rows, in_room = F.sum("events"), F.when(F.col("room_name").isNotNull(), F.col("events"))
     views = [
-        count_if(F.col("room_category") == room).alias(f"{room}_views") for room in _VIEWED_ROOMS
+        F.coalesce(F.sum(F.when(F.col("room_category") == room, F.col("events"))), F.lit(0)).alias(f"{room}_views")
+        for room in _VIEWED_ROOMS
     ]
-    return spatial.groupBy("analysis_date", "community", "building").agg(
+    return cells.groupBy("analysis_date", "community", "building").agg(
         rows.alias("total_spatial_events"),
         F.count_distinct("session_id").alias("unique_sessions"),
         F.count_distinct("anonymous_id").alias("unique_anonymous_users"),
         F.count_distinct("user_id").alias("unique_authenticated_users"),
         F.count_distinct("space_name").alias("unique_spaces_viewed"),
         F.count_distinct("room_name").alias("unique_rooms_viewed"),
-        F.avg("engagement_score").alias("avg_engagement_score"),
-        F.avg("time_on_page_seconds").alias("avg_time_per_view"),
-        F.sum("time_on_page_seconds").alias("total_engagement_time"),
-        count_if(_turned()).alias("three_d_navigation_events"),
-        count_if(F.col("navigation_event_type") == "position_change").alias("position_changes"),
-        F.avg(F.abs("pitch_angle")).alias("avg_pitch_variation"),
-        F.avg(F.abs("yaw_angle")).alias("avg_yaw_variation"),
+        _mean("engagement").alias("avg_engagement_score"),
+        _mean("time").alias("avg_time_per_view"),
+        F.sum("time_sum").alias("total_engagement_time"),
+        _total("turned").alias("three_d_navigation_events"),
+        _total("position_changes").alias("position_changes"),
+        _mean("pitch_size").alias("avg_pitch_variation"),
+        _mean("yaw_size").alias("avg_yaw_variation"),
         *views,
-        percent(count_if(_turned()), rows).alias("three_d_engagement_rate"),
-        percent(F.count("room_name"), rows).alias("room_context_rate"),
+        percent(F.sum("turned"), rows).alias("three_d_engagement_rate"),
+        percent(F.coalesce(F.sum(in_room), F.lit(0)), rows).alias("room_context_rate"),
     )
 
 
-def room_analytics(spatial: DataFrame) -> DataFrame:
-    in_room = spatial.where(F.col("room_name").isNotNull())
-    rows, strong = F.count(F.lit(1)), count_if(F.col("engagement_score") >= 3)
-    event = F.col("navigation_event_type")
-    rooms = in_room.groupBy(*ROOM_KEYS).agg(
+def room_analytics(cells: DataFrame, spatial: DataFrame) -> DataFrame:
+    rows = F.sum("events")
+    rooms = cells.where(F.col("room_name").isNotNull()).groupBy(*ROOM_KEYS).agg(
         F.count_distinct("session_id").alias("sessions_visiting_room"),
         rows.alias("total_room_events"),
-        F.avg("time_on_page_seconds").alias("avg_time_in_room"),
-        count_if(_turned()).alias("three_d_events_in_room"),
-        F.avg("pitch_angle").alias("avg_pitch_in_room"),
-        F.avg("yaw_angle").alias("avg_yaw_in_room"),
-        F.avg("field_of_view").alias("avg_fov_in_room"),
-        count_if(event == "room_entry").alias("room_entries"),
-        count_if(event == "position_change").alias("position_changes_in_room"),
-        strong.alias("high_engagement_events"),
-        percent(strong, rows).alias("high_engagement_rate"),
-    )
-    median = grouped_quantiles(
-        in_room, ROOM_KEYS, "time_on_page_seconds", {"median_time_in_room": 0.5}, SECONDS_WIDTH
+        _mean("time").alias("avg_time_in_room"),
+        _total("turned").alias("three_d_events_in_room"),
+        _mean("pitch").alias("avg_pitch_in_room"),
+        _mean("yaw").alias("avg_yaw_in_room"),
+        _mean("fov").alias("avg_fov_in_room"),
+        _total("room_entries").alias("room_entries"),
+        _total("position_changes").alias("position_changes_in_room"),
+        _total("strong").alias("high_engagement_events"),
+        percent(F.sum("strong"), rows).alias("high_engagement_rate"),
     )
+    in_room = spatial.where(F.col("room_name").isNotNull())
+    median = grouped_quantiles(in_room, ROOM_KEYS, "time_on_page_seconds", {"median_time_in_room": 0.5})
     return join_groups(rooms, median, ROOM_KEYS)
 
 
-def navigation_behavior(spatial: DataFrame) -> DataFrame:
+def navigation_behavior(cells: DataFrame, spatial: DataFrame) -> DataFrame:
     keys = ["analysis_date", "navigation_intensity"]
-    turned = spatial.where(_turned()).withColumn(
-        "navigation_intensity",
-        classify.navigation_intensity(F.col("pitch_angle"), F.col("yaw_angle")),
-    )
-    behavior = _navigation_means(turned, keys)
-    quartiles = grouped_quantiles(
-        turned, keys, "field_of_view", {"p25_fov": 0.25, "p75_fov": 0.75}, DEGREES_WIDTH
-    )
-    return join_groups(behavior, quartiles, keys)
-
-
-def _navigation_means(turned: DataFrame, keys: list[str]) -> DataFrame:
-    return turned.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("events_count"),
+    behavior = cells.where(F.col("turned") > 0).groupBy(*keys).agg(
+        F.sum("events").alias("events_count"),
         F.count_distinct("session_id").alias("unique_sessions"),
-        F.avg("time_on_page_seconds").alias("avg_time_per_view"),
-        F.avg("engagement_score").alias("avg_engagement"),
-        F.avg("field_of_view").alias("avg_field_of_view"),
+        _mean("time").alias("avg_time_per_view"),
+        _mean("engagement").alias("avg_engagement"),
+        _mean("fov").alias("avg_field_of_view"),
     )
+    intensity = classify.navigation_intensity(F.col("pitch_angle"), F.col("yaw_angle"))
+    turned = spatial.where(_turned()).withColumn("navigation_intensity", intensity)
+    quartiles = grouped_quantiles(turned, keys, "field_of_view", {"p25_fov": 0.25, "p75_fov": 0.75})
+    return join_groups(behavior, quartiles, keys)
 
 
-def auth_impact(spatial: DataFrame) -> DataFrame:
-    rows = F.count(F.lit(1))
+def auth_impact(cells: DataFrame) -> DataFrame:
+    rows, in_room = F.sum("events"), F.when(F.col("room_name").isNotNull(), F.col("events")).otherwise(0)
     kind = classify.user_type(F.col("user_id")).alias("user_type")
-    return spatial.groupBy("analysis_date", kind).agg(
+    return cells.groupBy("analysis_date", kind).agg(
         rows.alias("total_events"),
         F.count_distinct("session_id").alias("unique_sessions"),
         F.count_distinct(F.coalesce("user_id", "anonymous_id")).alias("unique_users"),
-        count_if(_turned()).alias("three_d_events"),
-        F.count("room_name").alias("room_context_events"),
-        F.avg("engagement_score").alias("avg_engagement_score"),
-        F.avg("time_on_page_seconds").alias("avg_time_per_event"),
+        _total("turned").alias("three_d_events"),
+        F.sum(in_room).alias("room_context_events"),
+        _mean("engagement").alias("avg_engagement_score"),
+        _mean("time").alias("avg_time_per_event"),
         F.count_distinct("room_name").alias("unique_rooms_accessed"),
         F.count_distinct("community").alias("unique_communities_accessed"),
-        percent(count_if(_turned()), rows).alias("three_d_usage_rate"),
-        percent(F.count("room_name"), rows).alias("room_context_rate"),
+        percent(F.sum("turned"), rows).alias("three_d_usage_rate"),
+        percent(F.sum(in_room), rows).alias("room_context_rate"),
     )
 
 
-def spatial_analytics(fact: DataFrame, start) -> DataFrame:
-    """The four levels stacked; a column a level lacks is a typed NULL."""
-    spatial = spatial_events(fact, start)
-    community = community_analytics(spatial).withColumn("analysis_level", F.lit("community_level"))
+def spatial_analytics(cells: DataFrame, spatial: DataFrame) -> DataFrame:
+    """The four levels stacked; a column a level lacks is a typed NULL.
+
+    ``cells`` is best a written table (see ``spatial_cells``): each level reads it. Events are read for
+    the quantiles alone.
+    """
+    community = community_analytics(cells).withColumn("analysis_level", F.lit("community_level"))
     rooms = (
-        room_analytics(spatial)
+        room_analytics(cells, spatial)
         .withColumnsRenamed(
             {
                 "total_room_events": "total_spatial_events",
@@ -154,7 +186,7 @@ def spatial_analytics(fact: DataFrame, start) -> DataFrame:
         .withColumn("analysis_level", F.lit("room_level"))
     )
     movement = (
-        navigation_behavior(spatial)
+        navigation_behavior(cells, spatial)
         .withColumnsRenamed(
             {"events_count": "total_spatial_events", "avg_engagement": "avg_engagement_score"}
         )
@@ -167,7 +199,7 @@ def spatial_analytics(fact: DataFrame, start) -> DataFrame:
     )
     kind, users = F.col("user_type"), F.col("unique_users")
     access = (
-        auth_impact(spatial)
+        auth_impact(cells)
         .withColumnsRenamed(
             {
                 "total_events": "total_spatial_events",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..plans import spatial
 from ..schemas import SPATIAL_ANALYTICS
+from ..sources.tables import write_mart
 from . import data
 from .catalog import query
 from .oracle_base import big, chain, day, rnd, ts
@@ -93,6 +94,15 @@ def _spatial(spark, folder):
     return spatial.spatial_events(data.fact(spark, folder), data.START)
 
 
+def _cells(spark, folder):
+    """The roll-up that the levels read, written once."""
+
+    def write(path: str) -> None:
+        write_mart(spatial.spatial_cells(_spatial(spark, folder)), path, ["analysis_date"])
+
+    return spark.read.parquet(data.written_path(spark, folder, "spatial_cells", write))
+
+
 @query(
     "spatial_events",
     chain("fct", SPATIAL)
@@ -120,7 +130,7 @@ def events(spark, folder):
     + " FROM com",
 )
 def community(spark, folder):
-    return plain(spatial.community_analytics(_spatial(spark, folder)))
+    return plain(spatial.community_analytics(_cells(spark, folder)))
 
 
 @query(
@@ -136,7 +146,7 @@ def community(spark, folder):
     + " FROM rom",
 )
 def rooms(spark, folder):
-    return plain(spatial.room_analytics(_spatial(spark, folder)))
+    return plain(spatial.room_analytics(_cells(spark, folder), _spatial(spark, folder)))
 
 
 @query(
@@ -150,7 +160,7 @@ def rooms(spark, folder):
     + " FROM nav",
 )
 def navigation(spark, folder):
-    return plain(spatial.navigation_behavior(_spatial(spark, folder)))
+    return plain(spatial.navigation_behavior(_cells(spark, folder), _spatial(spark, folder)))
 
 
 @query(
@@ -165,7 +175,7 @@ def navigation(spark, folder):
     + " FROM acc",
 )
 def access(spark, folder):
-    return plain(spatial.auth_impact(_spatial(spark, folder)))
+    return plain(spatial.auth_impact(_cells(spark, folder)))
 
 
 _LEVELS = """
@@ -203,4 +213,4 @@ def _mart_cols() -> str:
     + f"SELECT {_mart_cols()} FROM lev",
 )
 def analytics(spark, folder):
-    return plain(spatial.spatial_analytics(data.fact(spark, folder), data.START))
+    return plain(spatial.spatial_analytics(_cells(spark, folder), _spatial(spark, folder)))
