@@ -26,6 +26,7 @@ SEED = 42
 RADIUS = 3
 THIRDS = ((0, 21), (21, 42), (42, 64))  # bit ranges, from the lowest bit
 WORDS_PER_BUCKET = 1_000_000
+BLOCK = 65_536  # shingles hashed at once
 
 _ONE = np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -36,19 +37,16 @@ def _fingerprint(text: bytes | None, width: int) -> int:
     words = (text or b"").lower().split()
     if not words:
         return 0
-    line = b" ".join(words)
-    if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(line, SEED)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(line[a:b], SEED) for a, b in zip(starts[: 1 - width].tolist(), ends[width - 1 :].tolist(), strict=True)]
+    line, n = b" ".join(words), max(1, len(words) - width + 1)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))[:n]
+    ends, digest = ends[len(ends) - n :], xxhash.xxh64_intdigest
     total = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 65_536):
-        block = np.array(hashes[i : i + 65_536], dtype="<u8")
+    for i in range(0, n, BLOCK):
+        spans = zip(starts[i : i + BLOCK].tolist(), ends[i : i + BLOCK].tolist(), strict=True)
+        block = np.array([digest(line[a:b], SEED) for a, b in spans], dtype="<u8")
         total += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    set_bits = total * 2 > len(hashes)
+    set_bits = total * 2 > n
     return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
 
 
