@@ -24,6 +24,24 @@ def test_pieces_and_places(spark):
     check_places(found)
 
 
+def test_the_store_drops_and_learns_again(monkeypatch):
+    import pyarrow as pa
+
+    from tourlytics.llm import tokens
+
+    path = public_path("word_bpe_49k.json")
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 30)
+    monkeypatch.setattr(tokens, "FIRST_CHUNKS", 10)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 64)
+    store, plain = tokens.Chunks(path, False), Tokenizer.from_file(path)
+    texts = [f"word{i % 7} Wort{i} größer{i % 23}, it's <|endoftext|> n° {i}\x1c.. J̌ a̋" for i in range(60)] + ["", " \v\f ", "x" * 3000]
+    for kept in (64 << 20, 100):
+        monkeypatch.setattr(tokens, "KEPT_BYTES", kept)
+        for text, ids in zip(texts, store.each(pa.array(texts)), strict=True):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert [len(x) for x in store.each(pa.array([None, "a b"]))] == [0, 2]
+
+
 def check_places(found):
     held = defaultdict(list)
     for r in found:

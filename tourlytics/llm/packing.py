@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import parts, raw, settle
-from .tokens import chunks_of, grouped, public_path
+from .shared import parts, settle
+from .tokens import chunks_of, public_path
 
 CAPACITY = 4096
 END_ID = 1
@@ -33,18 +33,15 @@ def _cut(path: str, capacity: int, end_id: int):
         store, end = chunks_of(path), np.array([end_id], "<u4")
         for batch in batches:
             which, piece, start, length, crc = [], [], [], [], []
-            row = 0
-            for group in grouped(raw(batch)):
-                for ids in store.many(group):
-                    ids = np.concatenate((ids, end)).astype("<u4")
-                    for k, at in enumerate(range(0, len(ids), capacity)):
-                        some = ids[at : at + capacity]
-                        which.append(row)
-                        piece.append(k)
-                        start.append(at)
-                        length.append(len(some))
-                        crc.append(zlib.crc32(some.tobytes()))
-                    row += 1
+            for row, ids in enumerate(store.each(batch.column("text"))):
+                ids = np.concatenate((ids, end)).astype("<u4")
+                for k, at in enumerate(range(0, len(ids), capacity)):
+                    some = ids[at : at + capacity]
+                    which.append(row)
+                    piece.append(k)
+                    start.append(at)
+                    length.append(len(some))
+                    crc.append(zlib.crc32(some.tobytes()))
             at = pa.array(which, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [

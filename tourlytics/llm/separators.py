@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import raw, settle
-from .tokens import chunks_of, grouped, public_path
+from .shared import settle
+from .tokens import chunks_of, public_path
 
 BLOCK_TOKENS = 1 << 18
 SPAN_BLOCKS = 4096
@@ -39,14 +39,15 @@ def _write(path: str, end_id: int, block_tokens: int):
 
         for part, batch in enumerate(batches):
             yield row(None, None, part, batch.column("doc_id").to_pylist())
-            for group in grouped(raw(batch)):
-                for ids in store.many(group):
-                    held += [ids, end]
-                    size += len(ids) + 1
-                while size >= block_tokens:
+            for ids in store.each(batch.column("text")):
+                held += [ids, end]
+                size += len(ids) + 1
+                if size >= block_tokens:
                     flat = np.concatenate(held)
-                    yield row(block, flat[:block_tokens])
-                    held, size, block = [flat[block_tokens:]], len(flat) - block_tokens, block + 1
+                    for at in range(0, size - block_tokens + 1, block_tokens):
+                        yield row(block, flat[at : at + block_tokens])
+                        block += 1
+                    held, size = [flat[size - size % block_tokens :]], size % block_tokens
         if size:
             yield row(block, np.concatenate(held))
 

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-KEPT_CHUNKS = 1_000_000  # of one worker; the store starts anew beyond it
-GROUP_BYTES = 1 << 20
-GROUP_CHUNKS = 200_000
+KEPT_CHUNKS = 1_200_000  # of one worker; beyond it, or beyond KEPT_BYTES, only the first ones stay
+FIRST_CHUNKS = 500_000  # the frequent ones come early
+KEPT_BYTES = 64 << 20
+GROUP_BYTES = 4 << 20  # of text, tokenized at once
 
 MARKS = ".,;:!?"
 LATIN_END = "\u0180"  # letters below are in composed form already
@@ -58,9 +61,23 @@ class Chunks:
         self.lengths = np.zeros(1 << 16, np.int64)
         self.fill = 0  # of flat
         self.used = 0  # chunks
+        self.size = 0  # their bytes
+
+    def _make_room(self) -> None:
+        """Drops all but the first chunks."""
+        keep = list(islice(self.index, min(self.used, FIRST_CHUNKS)))
+        size = sum(map(len, keep))
+        if size > KEPT_BYTES // 2:
+            return self.clear()
+        index = _Index()
+        index.update(zip(keep, range(len(keep)), strict=True))
+        self.index, self.used, self.size = index, len(keep), size
+        self.fill = int(self.starts[self.used - 1] + self.lengths[self.used - 1]) if keep else 0
 
     def _simple(self, chunk: str) -> list[int] | None:
         """Ids of a word of Latin letters, with one mark behind it at most: what the tokenizer's steps come to."""
+        if not chunk:
+            return []
         low, mark = chunk.lower(), ()
         if low[-1] in MARKS:
             low, mark = low[:-1], self.marks[low[-1]]
@@ -88,6 +105,7 @@ class Chunks:
         self.fill += len(ids)
 
     def _learn(self) -> None:
+        self.size += sum(map(len, self.index.new))
         new, self.index.new = [c.decode() for c in self.index.new], []
         while self.used + len(new) > len(self.starts):
             self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
@@ -97,29 +115,32 @@ class Chunks:
             self._store(some, np.arange(self.used + i, self.used + i + len(some)))
         self.used += len(new)
 
-    def _ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if self.used + len(chunks) > KEPT_CHUNKS and self.used:
-            self.clear()
-        which = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+    def _group(self, texts: pa.Array) -> list[np.ndarray]:
+        """Chunks are parted and numbered by Arrow; only the different ones are looked up."""
+        if self.used > KEPT_CHUNKS or self.size > KEPT_BYTES:
+            self._make_room()
+        parted = pc.ascii_split_whitespace(_low(texts))
+        coded = parted.flatten().dictionary_encode()
+        different = coded.dictionary.cast(pa.binary()).to_pylist()
+        numbers = np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))
         if self.index.new:
             self._learn()
+        which = numbers[coded.indices.to_numpy(zero_copy_only=False)]
         lengths = self.lengths[which]
-        stops = np.cumsum(lengths)
-        ids = self.flat[np.arange(stops[-1]) + np.repeat(self.starts[which] - (stops - lengths), lengths)]
-        return ids, lengths
-
-    def many(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        """The ids of each text; null and empty texts have none."""
-        out: list[np.ndarray] = []
-        for group in grouped(texts):
-            chunks = [_low(t or b"").split() for t in group]
-            flat = list(chain.from_iterable(chunks))
-            pieces = [self._ids(flat[i : i + GROUP_CHUNKS]) for i in range(0, len(flat), GROUP_CHUNKS)]
-            ids = np.concatenate([p for p, _ in pieces]) if pieces else np.empty(0, np.uint32)
-            lengths = np.concatenate([n for _, n in pieces]) if pieces else np.empty(0, np.int64)
-            ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum([0, *map(len, chunks)])]
-            out += [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-        return out
+        stops = np.concatenate(([0], np.cumsum(lengths)))
+        ids = self.flat[np.arange(stops[-1]) + np.repeat(self.starts[which] - stops[:-1], lengths)]
+        counts = pc.list_value_length(parted).to_numpy(zero_copy_only=False)
+        ends = stops[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        return [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+    def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; null and empty texts have none."""
+        texts = texts.cast(pa.string()).fill_null("")
+        group = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // GROUP_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield from self._group(texts.slice(a, b - a))
 
 
 def chunks_of(path: str, plain_specials: bool = False) -> Chunks:
@@ -137,21 +158,9 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _low(text: bytes) -> bytes:
-    """ASCII letters in lower case, as the tokenizer has them; not where special strings or marks to be
-    joined with a letter could be."""
-    return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()
-
-
-def grouped(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
-    """Texts in order, in groups of about GROUP_BYTES, at least one each."""
-    group: list[bytes | None] = []
-    size = 0
-    for text in texts:
-        group.append(text)
-        size += len(text or b"")
-        if size >= GROUP_BYTES:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+def _low(texts: pa.Array) -> pa.Array:
+    """ASCII letters in lower case, as the tokenizer has them; not in texts where special strings or marks
+    to be joined with a letter could be."""
+    plain = texts.cast(pa.binary())
+    held = [pc.match_substring(plain, x) for x in (b"<|", b"\xcc", b"\xcd")]
+    return pc.if_else(pc.or_(pc.or_(held[0], held[1]), held[2]), texts, pc.ascii_lower(texts))
