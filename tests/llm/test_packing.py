@@ -31,7 +31,7 @@ def test_the_store_drops_and_learns_again(monkeypatch):
 
     path = public_path("word_bpe_49k.json")
     monkeypatch.setattr(tokens, "KEPT_CHUNKS", 30)
-    monkeypatch.setattr(tokens, "FIRST_CHUNKS", 10)
+    monkeypatch.setattr(tokens, "USED_CHUNKS", 10)
     monkeypatch.setattr(tokens, "GROUP_BYTES", 64)
     store, plain = tokens.Chunks(path, False), Tokenizer.from_file(path)
     texts = [f"word{i % 7} Wort{i} größer{i % 23}, it's <|endoftext|> n° {i}\x1c.. J̌ a̋" for i in range(60)] + ["", " \v\f ", "x" * 3000]

@@ -8,16 +8,16 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-KEPT_CHUNKS = 1_200_000  # of one worker; beyond it, or beyond KEPT_BYTES, only the first ones stay
-FIRST_CHUNKS = 500_000  # the frequent ones come early
+KEPT_CHUNKS = 400_000  # of one worker; beyond it, or beyond KEPT_BYTES, the rarer ones go
+USED_CHUNKS = 250_000  # that stay then
 KEPT_BYTES = 64 << 20
-GROUP_BYTES = 4 << 20  # of text, tokenized at once
+GROUP_BYTES = 2 << 20  # of text, tokenized at once
 
 MARKS = ".,;:!?"
 LATIN_END = "\u0180"  # letters below are in composed form already
@@ -59,20 +59,26 @@ class Chunks:
         self.flat = np.empty(1 << 20, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
+        self.hits = np.zeros(1 << 16, np.int64)  # groups that held the chunk
         self.fill = 0  # of flat
         self.used = 0  # chunks
         self.size = 0  # their bytes
 
     def _make_room(self) -> None:
-        """Drops all but the first chunks."""
-        keep = list(islice(self.index, min(self.used, FIRST_CHUNKS)))
-        size = sum(map(len, keep))
+        """Drops all but the chunks that most groups have held; older groups count half."""
+        keep = np.sort(np.argsort(-self.hits[: self.used], kind="stable")[:USED_CHUNKS])
+        chunks = list(self.index)
+        chunks = [chunks[k] for k in keep.tolist()]
+        size = sum(map(len, chunks))
         if size > KEPT_BYTES // 2:
             return self.clear()
-        index = _Index()
-        index.update(zip(keep, range(len(keep)), strict=True))
-        self.index, self.used, self.size = index, len(keep), size
-        self.fill = int(self.starts[self.used - 1] + self.lengths[self.used - 1]) if keep else 0
+        lengths, stops = self.lengths[keep], np.cumsum(self.lengths[keep])
+        flat = self.flat[np.arange(stops[-1]) + np.repeat(self.starts[keep] - (stops - lengths), lengths)]
+        self.index, self.used, self.size, self.fill = _Index(), len(keep), size, len(flat)
+        self.index.update(zip(chunks, range(len(chunks)), strict=True))
+        self.flat[: len(flat)] = flat
+        self.starts[: len(keep)], self.lengths[: len(keep)] = stops - lengths, lengths
+        self.hits[: len(keep)], self.hits[len(keep) :] = self.hits[keep] // 2, 0
 
     def _simple(self, chunk: str) -> list[int] | None:
         """Ids of a word of Latin letters, with one mark behind it at most: what the tokenizer's steps come to."""
@@ -110,6 +116,7 @@ class Chunks:
         while self.used + len(new) > len(self.starts):
             self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
             self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
+            self.hits = np.concatenate((self.hits, np.zeros_like(self.hits)))
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
             self._store(some, np.arange(self.used + i, self.used + i + len(some)))
@@ -125,6 +132,7 @@ class Chunks:
         numbers = np.fromiter(map(self.index.__getitem__, different), np.int64, len(different))
         if self.index.new:
             self._learn()
+        self.hits[numbers] += 1
         which = numbers[coded.indices.to_numpy(zero_copy_only=False)]
         lengths = self.lengths[which]
         stops = np.concatenate(([0], np.cumsum(lengths)))
