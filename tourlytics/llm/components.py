@@ -42,18 +42,20 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Each node's smaller neighbours are tied to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node's larger neighbours are tied to the smallest node around it."""
+def _round(edges: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """One large star and one small star; the least neighbours are written, so that the joins with them are
+    plain shuffles in which a node with many edges is split."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    around = settle(least, "least")
+    # Each node's larger neighbours are tied to the smallest node around it.
+    large = both.join(around, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    large = settle(large, "edges")
+    # Each node's smaller neighbours are tied to the smallest of them.
+    below = settle(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+    moved = large.join(below, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    small = settle(moved.union(below.select("a", F.col("m").alias("b"))).distinct(), "edges")
+    return small, [around, large, below]
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -73,5 +75,6 @@ def connected(edges: DataFrame) -> DataFrame:
         if mark == seen or mark["n"] == 0:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
         seen, before = mark, now
-        now = settle(_small_star(_large_star(now)), "edges")
-        forget(before)
+        now, used = _round(now)
+        for step in (before, *used):
+            forget(step)

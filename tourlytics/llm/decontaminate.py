@@ -9,7 +9,6 @@ the words left on both sides must be enough (length bound); the words are then c
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import raw
+from .shared import raw, settle
 
 WINDOW = 10
 SHINGLE = 3
@@ -62,47 +61,47 @@ class _Keys:
         return at[hit], where[hit]
 
 
-@dataclass
 class _Block:
-    """Windows of some items: the words of each, the ids of its items, and its candidate shingles."""
-
-    windows: list[tuple[bytes, ...]] = field(default_factory=list)
-    items: list[list[str]] = field(default_factory=list)
-
-    @classmethod
-    def of(cls, rows: list[tuple[str, bytes | None]], window: int) -> _Block:
-        found: dict[tuple[bytes, ...], list[str]] = {}
-        for item, text in rows:
-            words = words_of(text)
-            for i in range(max(1, len(words) - window + 1) if words else 0):
-                ids = found.setdefault(tuple(words[i : i + window]), [])
-                if item not in ids:
-                    ids.append(item)
-        return cls(list(found), list(found.values()))
-
-    def shingles(self, width: int) -> dict[int, list[tuple[np.ndarray, list[int]]]]:
-        """By shingle width: hashes of each window's shingles, and the windows."""
-        out: dict[int, list] = {}
-        for k, words in enumerate(self.windows):
-            w = min(width, len(words))
-            out.setdefault(w, []).append((k, _shingles(_word_hashes(list(words)), w)))
-        return out
-
-
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[_Block]:
+    """Some items and their windows: for each window its item, its start in it, and its size."""
+
+    def __init__(self, rows: list[tuple[str, bytes | None]], window: int) -> None:
+        found = {(item, tuple(words)) for item, text in rows if (words := words_of(text))}
+        self.ids = [item for item, _ in sorted(found)]
+        self.words = [list(words) for _, words in sorted(found)]
+        counts = [max(1, len(w) - window + 1) for w in self.words]
+        self.item = np.repeat(np.arange(len(counts)), counts)
+        self.start = np.concatenate([np.arange(n) for n in counts]) if counts else np.empty(0, np.int64)
+        self.size = np.repeat([min(window, len(w)) for w in self.words], counts).astype(np.int64)
+
+    def shingles(self, width: int) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By shingle width: window, offset in the window and hash of every shingle of every window."""
+        out: dict[int, list[list[np.ndarray]]] = {}
+        first = 0
+        for words, n in zip(self.words, np.bincount(self.item, minlength=len(self.words)).tolist(), strict=True):
+            size = int(self.size[first])
+            w = min(width, size)
+            hashes, inside = _shingles(_word_hashes(words), w), np.arange(size - w + 1)
+            windows, offsets = np.repeat(np.arange(n), len(inside)), np.tile(inside, n)
+            parts = out.setdefault(w, [[], [], []])
+            for part, x in zip(parts, (windows + first, offsets, hashes[windows + offsets]), strict=True):
+                part.append(x)
+            first += n
+        return {w: tuple(np.concatenate(x) for x in parts) for w, parts in out.items()}
+
+
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[_Block]:
     """Items in blocks of bounded text; they come to the driver one row after the other."""
-    out, rows, size = [], [], 0
+    rows, size, some = [], 0, False
     texts = benchmark.select(F.col("item_id").cast("string").alias("i"), F.encode("text", "UTF-8").alias("t"))
     for row in texts.where("i is not null").toLocalIterator():
         text = bytes(row["t"]) if row["t"] is not None else None
         rows.append((row["i"], text))
         size += len(text or b"")
         if size >= block_bytes:
-            out.append(_Block.of(rows, window))
-            rows, size = [], 0
-    if rows or not out:
-        out.append(_Block.of(rows, window))
-    return out
+            yield _Block(rows, window)
+            rows, size, some = [], 0, True
+    if rows or not some:
+        yield _Block(rows, window)
 
 
 def _count(keys: dict[int, _Keys]):
@@ -130,18 +129,13 @@ def _count(keys: dict[int, _Keys]):
     return run
 
 
-@dataclass
 class _Index:
-    """For each shingle width: the prefix shingles, and by shingle the windows with the place in them."""
-
-    block: _Block
-    keys: dict[int, _Keys]
-    entries: dict[int, list[list[tuple[int, int]]]]
+    """For each shingle width the prefix shingles, and by shingle the windows with its place in them."""
 
-    @classmethod
-    def of(cls, docs: DataFrame, block: _Block, width: int) -> _Index:
+    def __init__(self, docs: DataFrame, block: _Block, width: int) -> None:
+        self.block = block
         by_width = block.shingles(width)
-        keys = {w: _Keys(np.concatenate([h for _, h in found])) for w, found in by_width.items()}
+        keys = {w: _Keys(hashes) for w, (_, _, hashes) in by_width.items()}
         counts = {w: np.zeros(len(k.keys), np.int64) for w, k in keys.items()}
         if keys:
             shared = docs.sparkSession.sparkContext.broadcast(keys)
@@ -149,25 +143,31 @@ class _Index:
             for row in seen.groupBy("width", "shingle").agg(F.sum("n").alias("n")).toLocalIterator():
                 counts[row["width"]][row["shingle"]] = row["n"]
             shared.unpersist()
-        prefix: dict[int, dict[int, list[tuple[int, int]]]] = {}
-        for w, found in by_width.items():
-            for k, hashes in found:
-                at = np.searchsorted(keys[w].keys, hashes)
-                rarest = int(np.lexsort((hashes, counts[w][at]))[0])
-                prefix.setdefault(w, {}).setdefault(int(hashes[rarest]), []).append((k, rarest))
-        used = {w: _Keys(np.array(list(p), np.uint64)) for w, p in prefix.items()}
-        entries = {w: [prefix[w][int(x)] for x in known.keys] for w, known in used.items()}
-        return cls(block, used, entries)
-
-    def find(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
-        """Every (window, start) at which the document has the window."""
-        hashes = _word_hashes(words)
+        self.keys: dict[int, _Keys] = {}
+        self.entries: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for w, (windows, offsets, hashes) in by_width.items():
+            rarity = counts[w][np.searchsorted(keys[w].keys, hashes)]
+            order = np.lexsort((offsets, hashes, rarity, windows))
+            best = order[np.unique(windows[order], return_index=True)[1]]  # the rarest shingle of each window
+            best = best[np.argsort(hashes[best], kind="stable")]
+            self.keys[w] = _Keys(hashes[best])
+            first = np.searchsorted(hashes[best], self.keys[w].keys)
+            self.entries[w] = (np.append(first, len(best)), windows[best], offsets[best])
+
+    def find(self, words: list[bytes]) -> Iterator[tuple[int, int, int]]:
+        """Item, start and end of every window that the document has."""
+        hashes, block = _word_hashes(words), self.block
         for w, known in self.keys.items():
+            first, windows, offsets = self.entries[w]
             for p, which in zip(*(x.tolist() for x in known.places(_shingles(hashes, w))), strict=True):
-                for k, offset in self.entries[w][which]:
-                    window, start = self.block.windows[k], p - offset
-                    if start >= 0 and start + len(window) <= len(words) and tuple(words[start : start + len(window)]) == window:
-                        yield k, start
+                for k in range(first[which], first[which + 1]):
+                    window, start = windows[k], p - int(offsets[k])
+                    end, at = start + int(block.size[window]), int(block.start[window])
+                    if start < 0 or end > len(words):
+                        continue
+                    item = int(block.item[window])
+                    if words[start:end] == block.words[item][at : at + end - start]:
+                        yield item, start, end
 
 
 def _scan(shared):
@@ -179,9 +179,9 @@ def _scan(shared):
             for text, (s, e, i) in zip(raw(batch), before, strict=True):
                 words, ids = words_of(text), set(i)
                 spans = set(zip(s, e, strict=True))
-                for k, start in index.find(words):
-                    spans.add((start, start + len(index.block.windows[k])))
-                    ids.update(index.block.items[k])
+                for item, start, end in index.find(words):
+                    spans.add((start, end))
+                    ids.add(index.block.ids[item])
                 merged: list[list[int]] = []
                 for a, b in sorted(spans):
                     if merged and a <= merged[-1][1]:
@@ -207,16 +207,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
     window. Null and empty texts have no words and no hits; items without words or without an id hit
     nothing; repeated items and windows count once. One row for each row of ``docs``, repeated ids too;
     columns of the added names are replaced. The benchmark is held in blocks of ``block_bytes`` of text: each
-    block counts its shingles over all documents and adds its hits to the rows; a larger benchmark takes more
-    blocks, in the same way.
+    block counts its shingles over all documents and adds its hits to the rows, which are written between
+    blocks, so that a task holds one block at a time; a larger benchmark takes more blocks, in the same way.
     """
     longs, strings = F.array().cast("array<long>"), F.array().cast("array<string>")
     empty = [F.lit(0).cast("long"), longs, longs, strings]
     out = docs.drop(*_FOUND).select("*", *[c.alias(n) for c, n in zip(empty, _FOUND, strict=True)])
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-    for block in _blocks(benchmark, window, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(_Index.of(docs, block, shingle))
-        out = out.mapInArrow(_scan(shared), kind)
+    for k, block in enumerate(_blocks(benchmark, window, block_bytes)):
+        shared = docs.sparkSession.sparkContext.broadcast(_Index(docs, block, shingle))
+        out = (settle(out, "leaks") if k else out).mapInArrow(_scan(shared), kind)
     return out
 
 

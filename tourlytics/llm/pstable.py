@@ -178,7 +178,8 @@ def linked(vectors: DataFrame, least: float = LEAST_COSINE, seed: int = 7, chunk
     classes = settle(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     cells = classes.select("cid", "label", "n", "v").mapInArrow(_hash(seed), "cell long, tab int, cid long, label long, n long, v binary")
     sizes = cells.groupBy("cell", "tab", "label").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = cells.join(sizes, ["cell", "tab", "label"])
+    # Written first, so that both sides of the join are plain shuffles and a cell with many rows is split.
+    shared = cells.join(settle(sizes, "cells"), ["cell", "tab", "label"])
     chunks = F.ceil(F.col("size") / chunk).cast("int")
     own = shared.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
