@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import monitor
 from ..operators.session_metrics import session_metrics_v2
+from ..sources.tables import partition_files
 from . import data
 from .catalog import query
 from .oracle_base import AS_OF, big, chain, day, rnd, ts
@@ -199,12 +200,14 @@ def hourly(spark, folder):
     chain("web")
     + f"""SELECT count(*) AS row_count, {ts("max(processed_timestamp)", "latest_processed")},
 {big(f"epoch(TIMESTAMP '{AS_OF}') - floor(epoch(max(processed_timestamp)))", "lag_seconds")},
-true AS size_ok, true AS files_ok, true AS lag_ok FROM web""",
+true AS size_ok, true AS files_ok, true AS lag_ok, true AS as_listed FROM web""",
 )
 def footprint(spark, folder):
-    """Bytes and files depend on the writer, so only their limits are compared."""
+    """Bytes and files depend on the writer, so they are compared with the listing of the table."""
     found = monitor.table_footprint(data.web_events(spark, folder), AS_OF)
-    return plain(found.drop("total_bytes", "file_count"))
+    listed = partition_files(spark, data.web_events_path(spark, folder)).agg(F.sum("bytes").alias("b"), F.sum("files").alias("f")).first()
+    same = (F.col("total_bytes") == listed["b"]) & (F.col("file_count") == listed["f"])
+    return plain(found.withColumn("as_listed", same).drop("total_bytes", "file_count"))
 
 
 _SPACE = f"""space_name, space_type, count(DISTINCT session_id) AS unique_sessions,
