@@ -243,17 +243,12 @@ def _locate(width: int):
             words = (text or b"").split()
             hit = machine.mark(doc, words)
             gone = hit.count(1)
-            flat = []
-            if gone:
-                edges = np.flatnonzero(np.diff(np.frombuffer(b"\0" + bytes(hit) + b"\0", np.int8))).tolist()
-                flat = edges
-                words_left = [w for w, h in zip(words, hit, strict=True) if not h]
-            else:
-                words_left = words
+            edges = np.flatnonzero(np.diff(np.frombuffer(b"\0" + hit + b"\0", np.int8))).tolist() if gone else []
+            words_left = [w for w, h in zip(words, hit, strict=True) if not h] if gone else words
             kept.append(b" ".join(words_left))
             count.append(len(words))
             removed.append(gone)
-            spans.append(flat)
+            spans.append(edges)
         return pa.table(
             {
                 "doc_id": pa.array([None if i == MISSING_ID else i for i in ids], pa.int64()),

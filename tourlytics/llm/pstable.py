@@ -25,7 +25,8 @@ TABLES = 36
 PROJECTIONS = 10
 CELL = 2.0
 CHUNK = 2048  # vectors of a cell that are compared at once
-ROWS_PER_TASK = 40_000
+PAIRS = 1 << 14  # pairs whose signatures are compared at once
+ROWS_PER_TASK = 20_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -138,8 +139,8 @@ def _pairs(blobs, cid, n, chunk, tab, same_chunk, least, seed) -> list[tuple[int
     if tab:
         signs = _signatures(unit, seed)[:, :tab]
         new = np.ones(len(i), bool)
-        for at in range(0, len(i), 1 << 18):
-            part = slice(at, at + (1 << 18))
+        for at in range(0, len(i), PAIRS):
+            part = slice(at, at + PAIRS)
             new[part] = ~(signs[i[part]] == signs[j[part]]).any(axis=1)
         i, j = i[new], j[new]
     count = np.bincount(i, n[j], len(unit)) + np.bincount(j, n[i], len(unit))
