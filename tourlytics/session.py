@@ -76,5 +76,5 @@ def working_path(spark: SparkSession, name: str) -> str:
 
 
 def _drop_at_end(spark: SparkSession, root: str) -> None:
-    if spark.sparkContext._jsc is not None:  # not stopped yet
+    if getattr(spark.sparkContext, "_jsc", None) is not None:  # not stopped yet
         drop_path(spark, root)
