@@ -3,12 +3,13 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tourlytics.operators import session_metrics as sm
 from tourlytics.operators.sequencing import (
-    choose_slice_seconds,
+    SLICE_SECONDS,
     sequence_gaps,
     sequence_sessions,
     session_boundaries,
@@ -138,12 +139,9 @@ def test_lists_come_in_bounded_rows(spark):
     assert len(rows) == 5 * 6
 
 
-def test_slice_width_from_the_data(spark):
+@pytest.mark.parametrize("width", [1, 60, SLICE_SECONDS, 86_400])
+def test_slice_width_does_not_matter(spark, width):
     df = skewed_events(spark)
-    assert choose_slice_seconds(df, max_rows=1000) == 3600
-    narrow = choose_slice_seconds(df, max_rows=8)
-    assert narrow < 3600
-    assert choose_slice_seconds(df, max_rows=0) == 1
-    same = session_positions(df, narrow).where("session_id is not null")
+    same = session_positions(df, width).where("session_id is not null")
     expected = sorted(plain_windows(df).collect())
     assert sorted(same.select("event_id", "_rank", "_total", "_prev", "_next").collect()) == expected

@@ -9,8 +9,6 @@ join with the carried values keeps that partitioning and order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +16,7 @@ from ..functions import classify
 from .filters import clean_traffic
 
 DEFAULT_LAST_SECONDS = 30  # time on page of the last event of a session
-SLICE_SECONDS = 3600
-SLICE_WIDTHS = (3600, 900, 60, 1)
+SLICE_SECONDS = 300  # fine enough for a robot's session, and coarse beside the events of a person
 
 
 def session_positions(
@@ -31,8 +28,7 @@ def session_positions(
 ) -> DataFrame:
     """Adds ``_rank``, ``_total``, ``_prev`` and ``_next`` over (session, time, tie).
 
-    ``slice_seconds`` bounds what one task sorts for a session; ``choose_slice_seconds`` finds a width
-    for given data. The result does not depend on it. Rows without a session id stay, with NULL in the added columns.
+    ``slice_seconds`` bounds what one task sorts for a session. The result does not depend on it. Rows without a session id stay, with NULL in the added columns.
     """
     width = slice_seconds * 1_000_000
     sliced = events.withColumn("_slice", F.floor(F.unix_micros(F.col(time)) / F.lit(width)))
@@ -73,24 +69,6 @@ def session_positions(
     )
 
 
-def choose_slice_seconds(
-    events: DataFrame, max_rows: int = 2_000_000, widths: Sequence[int] = SLICE_WIDTHS
-) -> int:
-    """The widest slice in which no session has more than ``max_rows`` events.
-
-    One pre-aggregated count per width tried, and usually the first one fits; only the largest count
-    comes back. The narrowest width is returned when none fits.
-    """
-    for width in sorted(widths, reverse=True):
-        slices = events.where(F.col("session_id").isNotNull()).groupBy(
-            "session_id", F.floor(F.unix_micros("event_timestamp") / F.lit(width * 1_000_000))
-        )
-        busiest = slices.count().agg(F.max("count")).first()[0]
-        if (busiest or 0) <= max_rows:
-            return width
-    return min(widths)
-
-
 def sequence_sessions(events: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Position, first-event flag, next time and whole seconds on the page."""
     # Whole seconds, rounded down before 1970 too.
