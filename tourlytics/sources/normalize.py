@@ -59,6 +59,17 @@ def _texts(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def _event_fields() -> T.StructType:
+    """The event's fields as text, but the time as it stands."""
+    kinds = {"secondsUtcTS": T.VariantType()}
+    return T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in EVENT_FIELDS])
+
+
+def _number(value: Column) -> Column:
+    """A JSON number as a double; NULL for anything else."""
+    return F.when(F.schema_of_variant(value).rlike("^(BIGINT|DOUBLE|DECIMAL|FLOAT)"), F.try_variant_get(value, "$", "double"))
+
+
 def _object(text: Column) -> Column:
     return text.startswith("{")
 
@@ -96,15 +107,22 @@ def normalize_event(
     now = F.current_timestamp() if ingest_time is None else ingest_time
     doc, event, props, page = (F.col(c) for c in ("_doc", "_event", "_props", "_page"))
 
+    # A flat document is parsed once, with the fields of the wrapper and of the event together; only a
+    # wrapped event is parsed again. The time stays a variant, which tells a number from JSON text.
+    flat = T.StructType(_texts(DOCUMENT_FIELDS).fields + _event_fields().fields)
+    inner = F.from_json(F.col("_doc.eventData"), _event_fields())
     nested = (
-        decoded.withColumn("_doc", F.from_json("payload", _texts(DOCUMENT_FIELDS)))
+        decoded.withColumn("_doc", F.from_json("payload", flat))
         .withColumn("_wrapped", doc["eventData"].isNotNull())
         .withColumn("_body", F.coalesce(doc["eventData"], F.col("payload")))
-        .withColumn("_event", F.from_json("_body", _texts(EVENT_FIELDS)))
+        .withColumn(
+            "_event",
+            F.when(F.col("_wrapped"), inner).otherwise(F.struct(*[doc[f].alias(f) for f in EVENT_FIELDS])),
+        )
         .withColumn("_props", F.from_json(event["properties"], _texts(PAGE_FIELDS + PLACE_FIELDS)))
         .withColumn("_page", F.from_json(event["page"], _texts(PAGE_FIELDS)))
-        # Numbers only: a time given as JSON text is an error, not a number.
-        .withColumn("_ms", F.from_json("_body", "secondsUtcTS double")["secondsUtcTS"])
+        .withColumn("_ms", _number(event["secondsUtcTS"]))
+        .withColumn("_given", ~F.coalesce(F.is_variant_null(event["secondsUtcTS"]), F.lit(True)))
     )
     # The generator keeps the parsed values as they are, so that a filter on the result does not
     # parse every document once more.
@@ -146,7 +164,7 @@ def normalize_event(
         first_of(
             [
                 (wrong, BAD_CONTAINER),
-                (event["secondsUtcTS"].isNotNull() & ~in_range, BAD_TIME),
+                (F.col("_given") & ~in_range, BAD_TIME),
             ],
             None,
         ),
