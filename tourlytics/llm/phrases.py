@@ -26,6 +26,7 @@ from .shared import MISSING_ID, parts, raw, text_bytes
 WIDTH = 20
 BLOCK_BYTES = 8 << 20  # of text in a block, about; blocks grow in number only
 
+TARGETS = 1000  # blocks that one row sends a passage to, so that no row is large
 CODE = 3
 UNKNOWN = "\0" * CODE
 
@@ -82,14 +83,18 @@ class _Block:
         distinct, first, self.counts = np.unique(hashes, return_index=True, return_counts=True)
         return distinct, starts[first]
 
-    def passages(self, places: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-        """Runs of neighbouring windows as (id, first word, words)."""
+    def runs(self, places: np.ndarray) -> list[tuple[int, int]]:
+        """First and last window of each run of neighbouring windows."""
         places = np.sort(places)
         cuts = np.flatnonzero(np.diff(places) != 1) + 1
-        for run in np.split(places, cuts) if len(places) else []:
-            k = int(np.searchsorted(self.offsets, run[0], side="right")) - 1
-            start = int(run[0] - self.offsets[k])
-            yield self.ids[k], start, b" ".join(self.words[k][start : start + len(run) - 1 + self.width])
+        first, last = np.concatenate(([0], cuts)), np.append(cuts, len(places)) - 1
+        return list(zip(places[first].tolist(), places[last].tolist(), strict=True)) if len(places) else []
+
+    def passage(self, first: int, last: int) -> tuple[int, int, bytes]:
+        """Id, first word and words of a run of windows."""
+        k = int(np.searchsorted(self.offsets, first, side="right")) - 1
+        start = int(first - self.offsets[k])
+        return self.ids[k], start, b" ".join(self.words[k][start : start + last - first + self.width])
 
 
 def _send(width: int, buckets: int):
@@ -136,21 +141,26 @@ def _recurring(rows: pa.Table) -> pa.Table:
 
 def _confirm(width: int):
     def run(key: tuple, rows: pa.Table, wanted: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int, bytes]] = []
+        holders: dict[tuple[int, int], list[int]] = {}
+        out: list[tuple[list[int], int, int, bytes]] = []
         if rows.num_rows:
             block = _Block(rows, width)
             distinct, first = block.windows()
-            own = key[0].as_py()
-            out += [(own, *p) for p in block.passages(first[block.counts > 1])]
+            for found in block.runs(first[block.counts > 1]):
+                holders.setdefault(found, []).append(key[0].as_py())
             shared: dict[int, list[bytes]] = {}
             for target, blob in zip(wanted.column("target").to_pylist(), wanted.column("hashes").to_pylist(), strict=True):
                 shared.setdefault(target, []).append(blob)
             for target, blobs in shared.items():
                 at = np.searchsorted(distinct, np.frombuffer(b"".join(blobs), np.uint64))
-                out += [(target, *p) for p in block.passages(first[at])]
+                for found in block.runs(first[at]):
+                    holders.setdefault(found, []).append(target)
+            for found, targets in holders.items():
+                passage = block.passage(*found)
+                out += [(targets[i : i + TARGETS], *passage) for i in range(0, len(targets), TARGETS)]
         return pa.table(
             {
-                "target": pa.array([x[0] for x in out], pa.int64()),
+                "targets": pa.array([x[0] for x in out], pa.list_(pa.int64())),
                 "source_id": pa.array([x[1] for x in out], pa.int64()),
                 "source_start": pa.array([x[2] for x in out], pa.int64()),
                 "words": pa.array([x[3] for x in out], pa.binary()),
@@ -300,8 +310,9 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOC
     held = rows.groupBy("block").applyInArrow(_send(width, blocks), "bucket int, holder long, hashes binary")
     shared = held.groupBy("bucket").applyInArrow(_recurring, "source long, target long, hashes binary")
     passages = rows.groupBy("block").cogroup(shared.groupBy("source")).applyInArrow(
-        _confirm(width), "target long, source_id long, source_start long, words binary"
+        _confirm(width), "targets array<long>, source_id long, source_start long, words binary"
     )
+    passages = passages.select(F.explode("targets").alias("target"), "source_id", "source_start", "words")
     return rows.groupBy("block").cogroup(passages.groupBy("target")).applyInArrow(
         _locate(width), "doc_id long, text string, n_words long, n_removed long, removed array<long>"
     )
