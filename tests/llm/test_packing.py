@@ -65,6 +65,34 @@ def test_several_groups_lose_little(spark):
     assert check_places(packed) <= -(-int(sizes.sum()) // 4096) + 1
 
 
+def test_pieces_that_fill_no_sequence_come_to_an_end(spark):
+    # equal pieces; a few that would fit a gap; two lengths that go together only if dissolved
+    for sizes, bins in (([3000] * 60_000, 60_000), ([3000] * 60_000 + [1000] * 5, 60_000), ([2100] * 3000 + [1900] * 3000, 3000)):
+        rows = [(i, i, 0, 0, s, 0) for i, s in enumerate(sizes)]
+        packed = packing.pack(spark.createDataFrame(rows, packing._PIECES), group_pieces=1000).collect()
+        assert len(packed) == len(rows) == len({r["doc_row"] for r in packed})
+        assert check_places(packed) == bins
+
+
+def test_tightest_by_count_is_tightest():
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        sizes = rng.integers(1, 101, int(rng.integers(1, 400))) // int(rng.integers(1, 4)) + 1
+        sizes = np.minimum(sizes, 100)
+        lengths, counts = np.unique(sizes, return_counts=True)
+        rules, bins = packing.tightest_by_count(dict(zip(lengths.tolist(), counts.tolist(), strict=True)), 100)
+        assert bins == len(packing.tightest(sizes, 100))
+        held = defaultdict(list)
+        for k, (size, first, at, each, offset) in enumerate(rules.tolist()):
+            end = rules[k + 1, 1] if k + 1 < len(rules) and rules[k + 1, 0] == size else counts[lengths == size][0]
+            for i in range(end - first):
+                held[at + i // each].append((offset + i % each * size, size))
+        assert len(held) == bins and sum(map(len, held.values())) == len(sizes)
+        for places in held.values():
+            places.sort()
+            assert all(a + s == b for (a, s), (b, _) in zip(places, places[1:])) and places[0][0] == 0 and sum(places[-1]) <= 100
+
+
 def test_sum_of_squares_takes_the_least_change():
     rng = np.random.default_rng(1)
     bins = packing._Open(20)
