@@ -60,6 +60,26 @@ def test_clusters_match_brute_force(spark, chunk):
     assert ordered(pstable.linked(frame(spark, rows), chunk=chunk).collect()) == ordered(brute(rows))
 
 
+def test_tasks_stay_small_in_a_hot_cell(spark, monkeypatch):
+    compare = pstable._compare
+
+    def bounded(*args):
+        run = compare(*args)
+
+        def checked(rows):
+            assert len(rows) <= 1000, len(rows)
+            return run(rows)
+
+        return checked
+
+    monkeypatch.setattr(pstable, "_compare", bounded)
+    monkeypatch.setattr(pstable, "ROWS_PER_TASK", 200)
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=8)
+    rows = [(i, [float(x) for x in (centre + rng.normal(size=8) * 1e-3).astype(np.float32)], 1) for i in range(300)]
+    assert ordered(pstable.linked(frame(spark, rows), chunk=20).collect()) == ordered(brute(rows))
+
+
 def test_whole_table(spark, small):
     table = spark.read.parquet(f"{small}/embeddings.parquet")
     rows = [tuple(r) for r in table.select("vec_id", "embedding", "label").collect()]

@@ -4,7 +4,7 @@ Vectors are scaled to length one, so a least cosine is a greatest distance. Each
 projections into cells; vectors of a label that share all cells of a table are compared exactly. A pair
 counts in the first table that brings it together, so links are counted without listing pairs. Equal vectors
 are one row with a count throughout. Cells that hold many vectors are cut into chunks, and every two chunks
-of a cell are a task of their own.
+of a cell are compared apart; tasks are as many as the rows, with the copies for other chunks, call for.
 """
 
 from __future__ import annotations
@@ -180,12 +180,14 @@ def linked(vectors: DataFrame, least: float = LEAST_COSINE, seed: int = 7, chunk
     cells = classes.select("cid", "label", "n", "v").mapInArrow(_hash(seed), "cell long, tab int, cid long, label long, n long, v binary")
     sizes = cells.groupBy("cell", "tab", "label").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     # Written first, so that both sides of the join are plain shuffles and a cell with many rows is split.
-    shared = cells.join(settle(sizes, "cells"), ["cell", "tab", "label"])
+    sizes = settle(sizes, "cells")
+    shared = cells.join(sizes, ["cell", "tab", "label"])
     chunks = F.ceil(F.col("size") / chunk).cast("int")
     own = shared.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select("cell", "tab", "label", "cid", "n", "v", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-    tasks = parts(classes.count() * TABLES, ROWS_PER_TASK, 12)
+    copies = sizes.agg(F.coalesce(F.sum(F.col("size") * chunks), F.lit(0)).alias("n")).first()["n"]
+    tasks = parts(max(classes.count() * TABLES, copies), ROWS_PER_TASK, 12)
     dealt = dealt.withColumn("task", F.pmod(F.xxhash64("cell", "tab", "label", "low", "high"), F.lit(tasks)))
     found = settle(dealt.groupBy("task").applyInArrow(_compare(least, seed), "a long, b long, links long"), "links")
     counts = found.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
