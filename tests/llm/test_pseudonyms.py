@@ -66,6 +66,26 @@ def test_invalid_values_stay(spark):
     assert [r["text"] for r in found] == [f"see {v} then" for v in INVALID]
 
 
+CARD, SPACED = "4111111111111111", "4111 1111 1111 1111"
+NEIGHBOURS = [
+    ("card", SPACED, "{} 12/26"), ("card", CARD, "{} 123"), ("card", "5500-0000-0000-0004", "{} 2024"), ("card", SPACED, "2 {} 12/26 ok"),
+    ("card", SPACED, "in 12 34 {} 12 34 56"), ("card", "378282246310005", "7 {}-11"),
+    ("iban", "ES91 2100 0418 4502 0005 1332", "{} BIC CAIXESBB"), ("iban", "ES91 2100 0418 4502 0005 1332", "{} 2024"),
+    ("iban", "ES9121000418450200051332", "{} USD"), ("iban", "DE89 3704 0044 0532 0130 00", "{} BANK A"), ("iban", "NO93 8601 1117 947", "{} IN 2024"),
+]
+
+
+def test_neighbours_do_not_hide_a_value(spark):
+    found = texts(spark, [frame.format(v) for _, v, frame in NEIGHBOURS])
+    alone = texts(spark, [v for _, v, _ in NEIGHBOURS])
+    for (kind, value, frame), r, one in zip(NEIGHBOURS, found, alone):
+        assert one["text"] != value and r["text"] == frame.format(one["text"]), frame
+        assert r[f"n_{kind}"] == 1
+    date, both = texts(spark, [f"{SPACED} 12/26/2027", f"{SPACED} 12 5500 0000 0000 0004 34"])
+    assert SPACED not in date["text"] and date["n_card"] == date["n_date"] == 1
+    assert both["n_card"] == 2 and SPACED not in both["text"] and "5500 0000 0000 0004" not in both["text"]
+
+
 def test_equal_values_stay_linked_and_keys_matter(spark):
     a, b, c = texts(spark, ["4111111111111111", "x 4111 1111 1111 1111 y 4111-1111-1111-1111", "5500000000000004"])
     digits = lambda t: re.sub("[^0-9]", "", t)

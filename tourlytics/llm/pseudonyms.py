@@ -1,7 +1,9 @@
 """Format-preserving pseudonyms for personal numbers, dates and addresses in texts.
 
 A validated value is permuted within its own format by a keyed Feistel network, so the pseudonym is valid
-too, and equal values get equal pseudonyms in every document. Numbers with a check digit keep it right.
+too, and equal values get equal pseudonyms in every document. Numbers with a check digit keep it right, and
+are looked for with every end (and cards with every start) that whole groups of digits allow, as neighbours
+such as an expiry or a year may look like a part of them.
 Everything is DataFrame functions; the key is a parameter.
 """
 
@@ -26,7 +28,14 @@ FORMATS = {
     "phone": r"(?<![0-9(+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
-ANY = "|".join(FORMATS[k] for k in KINDS)
+CHECKED = {"iban": r"[A-Za-z0-9]", "card": r"[0-9]"}  # kinds with a check digit, and what may not stand beside them
+CHECKED_ANY = "|".join(FORMATS[k] for k in CHECKED)
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 
 FIRST_DAY, DAYS = "1900-01-01", 229 * 319  # to 2099-12-31
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -172,6 +181,49 @@ _RULES: dict[str, Callable[[Column, str], tuple[Column, Column]]] = {
 }
 
 
+def _iban_of(length: int, countries: str) -> str:
+    groups, tail = divmod(length - 4, 4)
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{tail}}}" if tail else "")
+
+
+#: What may be a value with a check digit: the usual forms, and then any other, the first choice first. Candidates overlap.
+_USUAL = {
+    "iban": "|".join(_iban_of(n, c) for n, c in IBAN_LENGTHS.items()),
+    "card": "[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}",
+}
+_OTHER = {"iban": [FORMATS["iban"]], "card": [rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)]}
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _checked(text: Column, kind: str, key: str) -> Column:
+    """A pattern of the valid values of a kind in a text; null if there are none."""
+    beside = CHECKED[kind]
+
+    def valid(t: Column, patterns: list[str]) -> Column:
+        found = [F.regexp_extract_all(t, F.lit(f"(?<!{beside})(?=((?:{p}))(?!{beside}))"), F.lit(1)) for p in patterns]
+        return F.array_distinct(F.filter(F.concat(*found), lambda m: _RULES[kind](m, key)[0]))
+
+    def pattern(values: Column) -> Column:
+        one = F.concat(F.lit(f"(?<!{beside})(?:"), F.array_join(values, "|"), F.lit(f")(?!{beside})"))
+        return F.when(F.size(values) > 0, one)
+
+    def both(usual: Column) -> Column:
+        rest = F.coalesce(F.regexp_replace(text, pattern(usual), F.lit("_")), text)  # so that no other candidate overlaps
+        return _let(F.concat(usual, valid(rest, _OTHER[kind])), pattern)
+
+    return F.when(text.rlike(FORMATS[kind]), _let(valid(text, [_USUAL[kind]]), both))
+
+
+def _pattern(text: Column, key: str) -> Column:
+    """The formats, those with a check digit as the valid values that the text holds."""
+    plain = "|".join(FORMATS[k] for k in KINDS if k not in CHECKED)
+    every = F.concat_ws("|", *[_checked(text, k, key) if k in CHECKED else F.lit(FORMATS[k]) for k in KINDS])
+    return F.when(text.rlike(CHECKED_ANY), every).otherwise(F.lit(plain))
+
+
 def _kind(m: Column) -> Column:
     out = F.lit(None).cast("string")
     for kind in reversed(KINDS):
@@ -194,18 +246,21 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
 
     Emails (local part), account numbers with right check digits, IPv4 addresses, calendar dates from 1900 to
     2099 (yyyy-MM-dd, dd.MM.yyyy, MM/dd/yyyy), social security numbers, phone numbers (country code kept) and
-    card numbers with a right check digit (first digit kept). Values that fail their check stay as they are.
+    card numbers with a right check digit (first digit kept). Values that fail their check stay as they are; of
+    valid ones that overlap, those of usual length and grouping count, then the first, then the longest.
     Separators stay in place and do not count: equal digits get equal pseudonyms. Null texts stay null; columns
     named n_<kind> are replaced.
     """
     columns = [c for c in docs.columns if c not in {f"n_{k}" for k in KINDS}]
     text = F.col("text")
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(_kind(m).alias("kind"), m.alias("m")))
+    pattern = F.col("pattern_")
+    found = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: F.struct(_kind(m).alias("kind"), m.alias("m")))
     none = F.array().cast("array<struct<kind:string,m:string>>")
-    out = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("found_", F.when(text.rlike(ANY), found).otherwise(none))
+    out = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("pattern_", _pattern(text, key))
+    out = out.withColumn("found_", F.when(F.rlike(text, pattern), found).otherwise(none))
     out = out.withColumn("put_", F.transform("found_", lambda x: _replaced(x, key)))
     puts = F.concat(F.transform("put_", lambda x: x["put"]), F.array(F.lit("")))
-    joined = F.array_join(F.flatten(F.zip_with(F.split(text, ANY, -1), puts, lambda gap, put: F.array(gap, put))), "")
+    joined = F.array_join(F.flatten(F.zip_with(F.split(text, pattern, -1), puts, lambda gap, put: F.array(gap, put))), "")
     of = lambda kind: F.size(F.filter("put_", lambda x: x["kind"] == kind)).cast("long")
     counts = [of(kind).alias(f"n_{kind}") for kind in KINDS]
     rebuilt = F.when(F.size("put_") > 0, joined).otherwise(text).alias("text")
