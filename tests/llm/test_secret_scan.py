@@ -63,6 +63,19 @@ def test_model_parts_random_from_ordinary(spark, model):
     assert len([i for i in hit if i < 1000]) >= 95 and not [i for i in hit if i >= 1000]
 
 
+def test_random_parts_beside_base_spans_are_found(spark, model):
+    part = "/" + base64.b64encode(hashlib.sha512(b"1").digest()).decode()[:40]
+    bases = ["1234567890123456789", "AKIAABCDEFGHIJKLMN"]
+    rows = [f"🎉 {b}{part} z" for b in bases] + [f"🎉 {part}/{b} z" for b in bases] + [f"🎉 {part}/{bases[0]}{part}/{bases[0]}-short z"]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in enumerate(rows)])
+    found = {r["doc_id"]: r["markov"] for r in secret_scan.scan(docs, model).collect()}
+    for i, t in enumerate(rows):
+        assert len(found[i]) == t.count(part)
+        assert all(m["m"] == t[m["s"] : m["e"]] and part in m["m"] for m in found[i])
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs, model).collect()}
+    assert not any(part in t for t in out.values()) and out[0] == "🎉 [secret][secret] z"
+
+
 def test_redaction(spark, model):
     docs = documents(spark)
     more = documents(spark, [(90, "x AKIAABCDEFGHIJKLMN y password=abcdefabcdefabcdef z", "en", "s", 50), (91, "🎉 deadbeefdeadbeef", "en", "s", 18)])

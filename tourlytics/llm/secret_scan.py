@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .regions import matches, replaced
+from .regions import EMPTY, matches, replaced
 
 #: Kinds in the order they are listed, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "markov")
@@ -21,7 +21,8 @@ ASSIGN_LEAST = 12
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # with the four letters at least 18; a shorter run holds no longer one
 HEX = r"[0-9a-f]{16,}"
 
-CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
+CANDIDATE_LEAST = 20
+CANDIDATE = rf"[A-Za-z0-9+/=_-]{{{CANDIDATE_LEAST},}}"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=_-"
 STATES = len(ALPHABET) + 2  # 0: any other character; the last: before the first character
 LEAST_RATIO = 12.0  # of the logarithms, for the whole token
@@ -107,22 +108,33 @@ def scan(docs: DataFrame, model: list[float]) -> DataFrame:
     """The rows of ``docs`` with arrays assign, access, hex, markov of structs s, e, m (code points, text).
 
     Base patterns are found per kind, leftmost and without overlap; assignments need a value of at least
-    ASSIGN_LEAST characters. Markov spans are tokens of CANDIDATE characters that touch no base span. Null
-    and empty texts have none. Columns of these names are replaced.
+    ASSIGN_LEAST characters. Markov spans are tokens of CANDIDATE characters, or what base spans leave of them
+    in parts of at least CANDIDATE_LEAST. Null and empty texts have none. Columns of these names are replaced.
     """
     text = F.col("text")
     out = docs.withColumn("assign", F.filter(matches(text, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= ASSIGN_LEAST))
     out = out.withColumn("access", matches(text, ACCESS)).withColumn("hex", matches(text, HEX))
 
-    def touched(x: Column) -> Column:
-        base = F.concat("assign", "access", "hex")
-        return F.exists(base, lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"]))
+    def left(x: Column) -> Column:
+        """The parts of a candidate between the base spans."""
+        base = F.filter(F.concat("assign", "access", "hex"), lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"]))
+        cuts = F.array_sort(F.transform(base, lambda y: F.struct(y["s"].alias("s"), y["e"].alias("e"))))
+        cuts = F.concat(cuts, F.array(F.struct(x["e"].alias("s"), x["e"].alias("e"))))
+        start = F.struct(F.array().cast(EMPTY).alias("out"), x["s"].alias("at"))
+
+        def cut(acc: Column, y: Column) -> Column:
+            size = y["s"] - acc["at"]
+            part = F.struct(acc["at"].alias("s"), y["s"].alias("e"), F.substring(x["m"], acc["at"] - x["s"] + 1, size).alias("m"))
+            out = F.when(size >= CANDIDATE_LEAST, F.concat(acc["out"], F.array(part))).otherwise(acc["out"])
+            return F.struct(out.alias("out"), F.greatest(acc["at"], y["e"]).alias("at"))
+
+        return F.when(F.size(base) > 0, F.aggregate(cuts, start, cut, lambda acc: acc["out"])).otherwise(F.array(x))
 
     def likely(x: Column) -> Column:
         ratio = log_ratio(x["m"], model)
         return ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_MEAN * F.length(x["m"]))
 
-    found = F.filter(matches(text, CANDIDATE), lambda x: ~touched(x) & likely(x))
+    found = F.filter(F.flatten(F.transform(matches(text, CANDIDATE), left)), likely)
     return out.withColumn("markov", found)
 
 
