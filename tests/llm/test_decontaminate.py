@@ -51,6 +51,14 @@ def test_leaks_match_brute_force(spark, block_bytes):
     assert ordered(got) == ordered(brute([(r["doc_id"], r["text"]) for r in docs.collect()], ITEMS))
 
 
+def test_items_without_an_id_hit_words(spark):
+    docs = documents(spark, [(1, "the old river bank", None, None, None), (2, "a one two", None, None, None)])
+    items = spark.createDataFrame([(None, "old river"), (7, "bank"), (None, "old river"), (None, "two")], "item_id long, text string")
+    found = decontaminate.contaminated(docs, items).select("doc_id", "n_words", "items", "n_hit", "n_items", "contaminated")
+    assert ordered(found.collect()) == ordered([(1, 4, ["7"], 3, 1, True), (2, 3, [], 1, 0, True)])
+    assert decontaminate.clean(docs, items).collect() == []
+
+
 def test_clean_documents_stay_whole(spark):
     docs = documents(spark)
     bench = spark.createDataFrame([(1, "Quick brown fox jumps over the lazy dog near the")], "item_id long, text string")

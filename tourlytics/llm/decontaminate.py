@@ -64,10 +64,11 @@ class _Keys:
 class _Block:
     """Some items and their windows: for each window its item, its start in it, and its size."""
 
-    def __init__(self, rows: list[tuple[str, bytes | None]], window: int) -> None:
+    def __init__(self, rows: list[tuple[str | None, bytes | None]], window: int) -> None:
         found = {(item, tuple(words)) for item, text in rows if (words := words_of(text))}
-        self.ids = [item for item, _ in sorted(found)]
-        self.words = [list(words) for _, words in sorted(found)]
+        found = sorted(found, key=lambda x: (x[0] is None, x[0] or "", x[1]))
+        self.ids = [item for item, _ in found]
+        self.words = [list(words) for _, words in found]
         counts = [max(1, len(w) - window + 1) for w in self.words]
         self.item = np.repeat(np.arange(len(counts)), counts)
         self.start = np.concatenate([np.arange(n) for n in counts]) if counts else np.empty(0, np.int64)
@@ -93,7 +94,7 @@ def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[_Bl
     """Items in blocks of bounded text; they come to the driver one row after the other."""
     rows, size, some = [], 0, False
     texts = benchmark.select(F.col("item_id").cast("string").alias("i"), F.encode("text", "UTF-8").alias("t"))
-    for row in texts.where("i is not null").toLocalIterator():
+    for row in texts.toLocalIterator():
         text = bytes(row["t"]) if row["t"] is not None else None
         rows.append((row["i"], text))
         size += len(text or b"")
@@ -181,7 +182,8 @@ def _scan(shared):
                 spans = set(zip(s, e, strict=True))
                 for item, start, end in index.find(words):
                     spans.add((start, end))
-                    ids.add(index.block.ids[item])
+                    if index.block.ids[item] is not None:
+                        ids.add(index.block.ids[item])
                 merged: list[list[int]] = []
                 for a, b in sorted(spans):
                     if merged and a <= merged[-1][1]:
@@ -204,8 +206,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
     """The rows of ``docs`` with n_words, starts and ends of hit word spans (merged), items: sorted ids as strings.
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one
-    window. Null and empty texts have no words and no hits; items without words or without an id hit
-    nothing; repeated items and windows count once. One row for each row of ``docs``, repeated ids too;
+    window. Null and empty texts have no words and no hits; items without words hit
+    nothing, those without an id hit words but are not listed; repeated items and windows count once. One row for each row of ``docs``, repeated ids too;
     columns of the added names are replaced. The benchmark is held in blocks of ``block_bytes`` of text: each
     block counts its shingles over all documents and adds its hits to the rows, which are written between
     blocks, so that a task holds one block at a time; a larger benchmark takes more blocks, in the same way.
