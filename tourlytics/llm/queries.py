@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, oracles, packing, phrases, pseudonyms, pstable, quotes, secret_scan, separators, simhash
+from . import decontaminate, hilbert, langid, merkle, oracles, oracles_shards, packing, periodic, phrases, pseudonyms, pstable
+from . import quotes, secret_scan, separators, simhash
 from .registry import query
 
 
@@ -75,3 +76,39 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_p_stable_hashing", oracles.VECTORS)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return pstable.linked(_read(spark, folder, "embeddings"))
+
+
+@query("op11_hilbert_shards", oracles_shards.SHARDS)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = hilbert.curve_shards(_read(spark, folder, "documents"))
+    return found.select(
+        "row.doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op13_subtree_exchange", oracles_shards.MANIFEST)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    tampered = merkle.leaf_hash(changed={"n_chars": F.col("n_chars") + 1})
+    drawn = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    found = merkle.manifest(docs, seen=F.when(drawn, tampered))
+    proof = F.sha2("proof", 256).alias("proof_sha256")
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
+@query("op12_block_convolution")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    found = periodic.periodic_runs(docs, text=periodic.with_periodic_tail(F.col("text"), F.col("doc_id")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("n"), (-r.start).alias("s"), (-r.period).alias("q"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.q")).alias("period"),
+        F.expr("1000 * best.n div -best.q").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

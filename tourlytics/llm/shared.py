@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import working_path
@@ -45,3 +45,21 @@ def raw(batch: pa.RecordBatch | pa.Table, column: str = "text") -> list[bytes |
 
 def table(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
+
+
+def lined_up(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """All rows in one total order, written, with ``task`` and ``at``: the stretch of the order and the place in it.
+
+    Stretches ascend and are cut by range sampling. Equal rows are told apart by their place in the input, so
+    a key that a third of all rows share is spread over stretches too.
+    """
+    cut = df.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*order, "tie")
+    step = F.monotonically_increasing_id()  # the task's number above 33 bits, the row's below
+    place = [F.shiftright(step, 33).cast("int").alias("task"), step.bitwiseAND((1 << 33) - 1).alias("at")]
+    return settle(cut.sortWithinPartitions(*order, "tie").select(*df.columns, *place), name)
+
+
+def ahead(sums: DataFrame, amount: str, *within: str) -> DataFrame:
+    """``sums`` (a row a task, or a task and key) with the amount of all earlier tasks as ``ahead``."""
+    earlier = Window.partitionBy(*within).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.withColumn("ahead", F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
