@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from test_raw import FLAT, NESTED, b64, record
-from tourlytics.jobs import Tables, load_history, maintain, refresh_marts, report_day
+from tourlytics.jobs import Tables, load_history, maintain, rebuild_sessions, refresh_marts, report_day
 from tourlytics.schemas import SPATIAL_ANALYTICS, WEB_EVENTS_ENRICHED
 
 START = 1_705_300_000_000  # 2024-01-15 06:26:40 UTC
@@ -57,3 +57,36 @@ def test_from_lines_to_report(spark, tmp_path):
     assert tables.read(spark, "web_events").count() == 96
     report = spark.read.parquet(report_day(spark, tables, "2024-01-15"))
     assert report.agg(F.sum("total_sessions")).first()[0] == 6
+
+
+def lines_of(path, *events):
+    """One file of flat documents: (session, minute)."""
+    path.mkdir()
+    docs = [{**FLAT, "userAgent": "Mozilla", "sessionId": s, "anonymousId": "u", "secondsUtcTS": START + 60_000 * m} for s, m in events]
+    path.joinpath("a.txt").write_text(json.dumps({"Records": [record(b64(json.dumps(d)), f"{d['sessionId']}-{d['secondsUtcTS']}") for d in docs]}))
+    return str(path)
+
+
+def test_a_later_archive_rewrites_the_days_of_its_sessions_only(spark, tmp_path):
+    day = 24 * 60
+    first = lines_of(tmp_path / "first", *[(f"s{d}", d * day + m) for d in range(4) for m in range(3)], ("wide", 0), ("wide", 3 * day))
+    second = lines_of(tmp_path / "second", ("s1", day + 1), ("s1", day + 30), ("s9", day + 5), ("wide", 3 * day + 9))
+    tables, whole = Tables(str(tmp_path / "t")), Tables(str(tmp_path / "whole"))
+    processed = F.lit("2024-02-01 12:00:00").cast("timestamp")
+    load_history(spark, first, tables, ingest_time=processed)
+    names = ("web_events", "session_metrics_v2")
+    files = lambda: {n: {d: {f.name for f in p.rglob("*.parquet")} for d, p in days(tmp_path / "t" / n)} for n in names}
+    days = lambda root: [(p.name[-2:], p) for p in root.glob("event_date=*")]
+    before = files()
+    load_history(spark, second, tables, ingest_time=processed)
+    after = files()
+    for name in names:  # sessions s1 and s9 lie on the 16th, the wide one on the 15th and the 18th
+        assert {d for d in after[name] if before[name].get(d) != after[name][d]} == {"15", "16", "18"}
+    for archive in (first, second):
+        load_history(spark, archive, whole, ingest_time=processed)
+    rebuild_sessions(spark, whole)
+    for name in names:
+        mine, wanted = (t.read(spark, name).drop("processed_timestamp") for t in (tables, whole))
+        assert mine.exceptAll(wanted.select(*mine.columns)).isEmpty() and wanted.count() == mine.count() > 0
+    load_history(spark, second, tables, ingest_time=processed)
+    assert tables.read(spark, "web_events").count() == 17

@@ -29,7 +29,18 @@ from .schemas import (
 from .sources.normalize import normalize_event
 from .sources.raw import decode_lines, read_raw_lines
 from .session import drop_path, working_path
-from .sources.tables import append_new, compact_partitions, write_events, write_mart, write_report
+from .sources.tables import (
+    append_new,
+    clustered,
+    compact_partitions,
+    folders_of,
+    read_folders,
+    read_if_exists,
+    replace_partitions,
+    write_events,
+    write_mart,
+    write_report,
+)
 
 REJECT_KEY = ["payload", "kinesis_sequence_number", "kinesis_partition_key"]
 
@@ -59,29 +70,91 @@ def load_history(
 
     It can be repeated: documents are merged into ``landed_events`` by event id and rejects into
     ``rejected_records`` by their content, so an archive loaded twice, or one that overlaps another, adds
-    nothing twice. The event and session tables are then made anew from all that has landed, as a session
-    may span archives. Input is decoded once, into a folder that is dropped at the end.
+    nothing twice. As a session may span archives, the archive's sessions are then sequenced anew from all
+    that has landed of them; see ``refresh_sessions``. A load that was interrupted is mended by running it
+    again. Input is decoded once, into a folder that is dropped at the end.
     """
     decoded = decode_lines(read_raw_lines(spark, lines_path))
     landing = working_path(spark, "landing")
     normalize_event(decoded, "batch", ingest_time, keep=["payload"]).write.parquet(landing)
     try:
         landed = spark.read.parquet(landing)
-        append_new(spark, tables.path("landed_events"), landed.where("error is null").drop("error", "payload"))
+        good = landed.where("error is null").drop("error", "payload")
+        append_new(spark, tables.path("landed_events"), good)
         said = F.concat_ws("|", "error", *[F.coalesce(c, F.lit("")) for c in REJECT_KEY])
         rejects = landed.where("error is not null").withColumn("reject_id", F.md5(said))
         append_new(spark, tables.path("rejected_records"), rejects, "reject_id", ["error"], None)
+        refresh_sessions(spark, tables, valid_events(good, allow_user_id=True), quality, slice_seconds)
     finally:
         drop_path(spark, landing)
+
+
+def rebuild_sessions(
+    spark: SparkSession, tables: Tables, quality: str = "tiered_v2", slice_seconds: int = SLICE_SECONDS
+) -> None:
+    """``web_events`` and ``session_metrics_v2`` from all events that have landed."""
     valid = valid_events(tables.read(spark, "landed_events"), allow_user_id=True)
     clean = build_web_events(valid, quality, slice_seconds=slice_seconds)
     write_events(conform(clean, WEB_EVENTS_ENRICHED), tables.path("web_events"), mode="overwrite")
-
-    sessions = session_metrics_v2(tables.read(spark, "web_events"))
-    stamped = sessions.withColumn("processed_timestamp", F.current_timestamp())
+    stamped = _stamped_sessions(tables.read(spark, "web_events"))
     write_mart(stamped, tables.path("session_metrics_v2"), PARTITIONS["session_metrics"])
 
 
+def refresh_sessions(
+    spark: SparkSession,
+    tables: Tables,
+    touched: DataFrame,
+    quality: str = "tiered_v2",
+    slice_seconds: int = SLICE_SECONDS,
+) -> None:
+    """Brings the event and session tables up to date with the sessions that occur in ``touched``, and only them.
+
+    Of the landed table the session ids alone are read whole. They name the partitions in which these
+    sessions have events; those are read, the sessions in them sequenced anew, and the partitions replaced
+    by their other rows and the new ones. Partitions without such a session keep their files. The first
+    load, and one that has been interrupted before it wrote both tables, build them whole.
+    """
+    names = ("web_events", "session_metrics_v2")
+    if any(read_if_exists(spark, tables.path(name)) is None for name in names):
+        rebuild_sessions(spark, tables, quality, slice_seconds)
+        return
+    days, parts = PARTITIONS["session_metrics"], PARTITIONS["web_events"]
+    steps = [working_path(spark, name) for name in ("sessions", "touched_partitions")]
+    try:
+        touched.select("session_id").distinct().write.parquet(steps[0])
+        ids = spark.read.schema("session_id string").parquet(steps[0])
+        landed = tables.read(spark, "landed_events")
+        landed.select(*parts, "session_id").join(ids, "session_id", "left_semi").select(*parts).distinct().write.parquet(steps[1])
+        where = spark.read.parquet(steps[1])
+
+        path = tables.path("landed_events")
+        held = read_folders(spark, path, folders_of(spark, path, where, parts), landed.schema)
+        theirs = valid_events(held.join(ids, "session_id", "left_semi"), allow_user_id=True)
+        clean = conform(build_web_events(theirs, quality, slice_seconds=slice_seconds), WEB_EVENTS_ENRICHED)
+        _replace_sessions(spark, tables.path("web_events"), clean, ids, where, parts)
+
+        path, events = tables.path("web_events"), tables.read(spark, "web_events")
+        now = read_folders(spark, path, folders_of(spark, path, where, parts), events.schema)
+        sessions = _stamped_sessions(now.join(ids, "session_id", "left_semi"))
+        _replace_sessions(spark, tables.path("session_metrics_v2"), sessions, ids, where.select(*days).distinct(), days)
+    finally:
+        for step in steps:
+            drop_path(spark, step)
+
+
+def _stamped_sessions(events: DataFrame) -> DataFrame:
+    return session_metrics_v2(events).withColumn("processed_timestamp", F.current_timestamp())
+
+
+def _replace_sessions(spark, path: str, rows: DataFrame, ids: DataFrame, where: DataFrame, partitions: list[str]) -> None:
+    """In the partitions ``where``, the rows of the sessions ``ids`` give way to ``rows``."""
+    table = spark.read.parquet(path)
+    folders = folders_of(spark, path, where, partitions)
+    others = read_folders(spark, path, folders, table.schema).join(ids, "session_id", "left_anti")
+    both = others.select(*table.columns).unionByName(rows.select(*table.columns))
+    replace_partitions(spark, path, clustered(both, partitions), folders, partitions)
+
+
 def refresh_marts(
     spark: SparkSession,
     tables: Tables,

@@ -115,6 +115,17 @@ def latest_per_key(df: DataFrame, key: str, order_cols: Sequence[str]) -> DataFr
     )
 
 
+def one_per_key(rows: DataFrame, key: str, order_cols: Sequence[str]) -> DataFrame:
+    """The same as ``latest_per_key`` for written rows of which few repeat: only those are carried to be compared.
+
+    A count by key alone finds the keys that repeat. All other rows pass by, unsorted.
+    """
+    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(key).alias("_key"))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    lone = rows.join(repeated, same, "left_anti")
+    return lone.unionByName(latest_per_key(rows.join(repeated, same, "left_semi"), key, order_cols))
+
+
 def new_rows(
     target: DataFrame, batch: DataFrame, key: str = "event_id", order_cols: Sequence[str] = ()
 ) -> DataFrame:
@@ -141,20 +152,19 @@ def append_new(
 ) -> None:
     """Insert-only merge of a batch into a table on storage.
 
-    The batch is evaluated once: its rows, one per key, are written to the shared folder and read from
-    there. ``day`` names the partition column that the key fixes, as an id that holds the event time
+    The batch is evaluated once: its rows are written to the shared folder and read from there, where the
+    keys that repeat are reduced to one row. ``day`` names the partition column that the key fixes, as an id that holds the event time
     fixes its day; then only the target's days from the batch's first to its last are read. Pass None
     if it does not.
     """
-    unique = latest_per_key(batch, key, _recency(batch))
-    target, on = read_if_exists(spark, path), [key]
-    if target is None:
-        write_events(unique, path, partitions)
-        return
     landed = working_path(spark, "append")
-    unique.write.parquet(landed)
+    batch.write.parquet(landed)
     try:
-        rows = spark.read.schema(unique.schema).parquet(landed)
+        rows = one_per_key(spark.read.schema(batch.schema).parquet(landed), key, _recency(batch))
+        target, on = read_if_exists(spark, path), [key]
+        if target is None:
+            write_events(rows, path, partitions)
+            return
         if day:
             on = [key, day]
             first, last = rows.agg(F.min(day), F.max(day)).first()
@@ -221,6 +231,20 @@ def list_partitions(
     return _listing(spark, path, columns).select(*columns).distinct()
 
 
+def folders_of(spark: SparkSession, path: str, wanted: DataFrame, partitions: Sequence[str]) -> list[str]:
+    """Folders of the partitions that ``wanted`` names; a partition value may be null."""
+    files = _listing(spark, path, partitions).select(*partitions, "folder").distinct()
+    same = [files[p].eqNullSafe(wanted[p]) for p in partitions]
+    return [r["folder"] for r in files.join(wanted, same, "left_semi").collect()]
+
+
+def read_folders(spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Some partitions of a table, read without listing the others."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.option("basePath", path).schema(schema).parquet(*folders)
+
+
 # ---- Replacing partitions ---------------------------------------------------------------------
 
 
@@ -373,12 +397,10 @@ def erase_on_storage(
     rows = spark.read.parquet(path)
     wanted = subjects.select(key).where(F.col(key).isNotNull()).distinct()
     hit = rows.select(*partitions, key).join(wanted, key, "left_semi").select(*partitions).distinct()
-    files = _listing(spark, path, partitions).select(*partitions, "folder").distinct()
-    same = [files[p].eqNullSafe(hit[p]) for p in partitions]
-    folders = [r["folder"] for r in files.join(hit, same, "left_semi").collect()]
+    folders = folders_of(spark, path, hit, partitions)
     if not folders:
         return
-    held = spark.read.option("basePath", path).schema(rows.schema).parquet(*folders)
+    held = read_folders(spark, path, folders, rows.schema)
     replace_partitions(spark, path, clustered(erase_subject(held, wanted, key).select(*rows.columns), partitions), folders, partitions)
 
 
