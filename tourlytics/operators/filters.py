@@ -87,3 +87,12 @@ def lookup_user(events: DataFrame, anonymous_id: str, n: int) -> DataFrame:
         .orderBy("event_timestamp", "event_id")
         .limit(n)
     )
+
+
+def lookup_identity(events: DataFrame, anonymous_id: str | None = None, user_id: str | None = None) -> DataFrame:
+    """All events of a visitor, an account, or either. The test reaches the reader, which skips row groups
+    by the Bloom filters and dictionaries of the two columns."""
+    wanted = [F.col(c) == v for c, v in (("anonymous_id", anonymous_id), ("user_id", user_id)) if v is not None]
+    if not wanted:
+        raise ValueError("name a visitor or an account")
+    return events.where(wanted[0] if len(wanted) == 1 else wanted[0] | wanted[1])

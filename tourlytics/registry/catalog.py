@@ -25,5 +25,5 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from . import checking, events, ingest, journeys, monitoring, snapshots, spatial, streams, tables  # noqa: F401
+    from . import checking, events, ingest, journeys, layout, monitoring, snapshots, spatial, streams, tables  # noqa: F401
     from . import ordering  # noqa: F401  # builds on the SQL of the others

@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from ..operators.filters import date_at, timestamp_at
 from ..schemas import PARTITIONS
 from ..session import drop_path, file_system, working_path
+from .clustering import PUSHED_IDS, any_of
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+BLOOM_COLUMNS = ("anonymous_id", "user_id")
 EVENT_PARTITIONS = PARTITIONS["web_events"]
 STAGED = "_staged"  # folder beside a table's partitions in which a replacement waits; readers skip it
 
@@ -57,6 +59,12 @@ def clustered(
     return spread.sortWithinPartitions(*order) if order else spread
 
 
+def bloom_options(columns: Iterable[str]) -> dict[str, str]:
+    """Writer options for a Bloom filter per row group of each column, sized by the ids that it holds."""
+    out = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return {**out, "parquet.bloom.filter.adaptive.enabled": "true"} if out else out
+
+
 def write_events(
     df: DataFrame,
     path: str,
@@ -68,6 +76,7 @@ def write_events(
         clustered(df, partitions, cluster_by)
         .write.mode(mode)
         .option("compression", "zstd")
+        .options(**bloom_options(c for c in BLOOM_COLUMNS if c in df.columns))
         .partitionBy(*partitions)
         .parquet(path)
     )
@@ -268,7 +277,8 @@ def replace_partitions(
     staged = f"{path.rstrip('/')}/{STAGED}"
     drop_path(spark, staged)
     new = f"{staged}/rows"
-    rows.write.option("compression", "zstd").partitionBy(*partitions).parquet(new)
+    blooms = bloom_options(c for c in BLOOM_COLUMNS if c in rows.columns)
+    rows.write.option("compression", "zstd").options(**blooms).partitionBy(*partitions).parquet(new)
     if expected is not None:
         written = sum(r[0] for r in spark.read.schema(rows.schema).parquet(new).groupBy().count().collect())
         if written != expected:
@@ -391,12 +401,18 @@ def erase_on_storage(
 ) -> None:
     """Rewrites the partitions that hold rows of the subjects without them; one that is left empty goes.
 
-    A first pass over the key alone finds those partitions; only they are read whole.
+    A first pass over the key alone finds those partitions; only they are read whole. Up to ``PUSHED_IDS``
+    subjects are handed to the reader, which skips row groups by their Bloom filters; more are joined.
     """
     resume_replacement(spark, path)
     rows = spark.read.parquet(path)
     wanted = subjects.select(key).where(F.col(key).isNotNull()).distinct()
-    hit = rows.select(*partitions, key).join(wanted, key, "left_semi").select(*partitions).distinct()
+    few = [r[0] for r in wanted.limit(PUSHED_IDS + 1).collect()]
+    if len(few) <= PUSHED_IDS:
+        hit = rows.where(any_of(key, few))
+    else:
+        hit = rows.select(*partitions, key).join(wanted, key, "left_semi")
+    hit = hit.select(*partitions).distinct()
     folders = folders_of(spark, path, hit, partitions)
     if not folders:
         return
