@@ -5,9 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tourlytics.operators import sketches
+from tourlytics.operators import checks, sketches
 from tourlytics.operators.filters import lookup_identity
-from tourlytics.sources import clustering, tables
+from tourlytics.sources import bucketed, clustering, tables
 
 
 def rows_read(df):
@@ -114,3 +114,29 @@ def test_distributions_of_odd_columns(spark):
     assert found["c"].median is None and found["c"].smallest is None
     by_part = sketches.distributions(stored, ["a"], by=["part"]).collect()
     assert len(by_part) == 3 and all(r.rows == 1000 for r in by_part)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(20_000).select(F.concat(F.lit("s"), F.col("id") % 3000).alias("session_id"), "id")
+    parents = spark.range(2990).select(F.concat(F.lit("s"), F.col("id")).alias("session_id"))
+    paths = {n: str(tmp_path / n) for n in ("child_b", "parent_b")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in (("child_b", rows), ("parent_b", parents)):
+            bucketed.write_bucketed(df, name, paths[name], 8)
+        child, parent = (bucketed.read_bucketed(spark, n, p, 8) for n, p in paths.items())
+        found = checks.check_relationships(child, parent, "session_id")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Exchange SinglePartition" in plan and "SortMergeJoin" in plan
+        assert plan.count("Bucketed: true") == 2
+        assert found.first()["observed"] == sum(1 for i in range(20_000) if i % 3000 >= 2990)
+        # a session with most of the rows: its bucket is not read by one task
+        hot = rows.withColumn("session_id", F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("session_id")))
+        bucketed.write_bucketed(hot, "hot_b", str(tmp_path / "hot"), 8)
+        read = bucketed.read_bucketed(spark, "hot_b", str(tmp_path / "hot"), 8, uneven=2)
+        assert "Bucketed: true" not in read.groupBy("session_id").count()._jdf.queryExecution().executedPlan().toString()
+        assert read.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("child_b", "parent_b", "hot_b"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

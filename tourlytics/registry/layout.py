@@ -6,10 +6,10 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..operators import sketches
+from ..operators import checks, sketches
 from ..operators.filters import lookup_identity
 from ..session import working_path
-from ..sources import clustering, tables
+from ..sources import bucketed, clustering, tables
 from . import data
 from .catalog import query
 from .oracle_base import chain, day, rnd, ts
@@ -131,3 +131,29 @@ def column_distributions(spark, folder):
             checks.append(F.struct(F.lit(r["column_name"]).alias("column_name"), (under & upto).alias("held")))
     held = events.agg(F.explode(F.array(*checks)).alias("c")).groupBy("c.column_name").agg(F.bool_and("c.held").alias("quartiles_hold"))
     return rows.join(held, "column_name").select("column_name", "rows", "values", "smallest", "largest", "quartiles_hold")
+
+
+BUCKETS = 8
+
+
+def bucketed_table(spark, folder, kind: str, build):
+    """A bucketed copy of a table, written once."""
+    name = f"{kind}_{abs(hash((spark.sparkContext.applicationId, folder))):x}"
+    path = data.written_path(spark, folder, name, lambda path: bucketed.write_bucketed(build(), name, path, BUCKETS))
+    return bucketed.read_bucketed(spark, name, path, BUCKETS)
+
+
+@query(
+    "check_session_relationship_bucketed",
+    chain("fct")
+    + """SELECT 'relationships(session_id)' AS check_name, CAST(count(*) AS DOUBLE) AS observed
+FROM fct WHERE session_id NOT IN (SELECT session_id FROM bnd)""",
+)
+def relationship_bucketed(spark, folder):
+    """Fact to sessions over tables bucketed alike: neither side is shuffled."""
+    fact = bucketed_table(spark, folder, "fact_by_session", lambda: data.fact(spark, folder).select("session_id", "event_id"))
+    sessions = bucketed_table(
+        spark, folder, "sessions_by_session", lambda: data.staged(spark, folder).select("session_id").distinct()
+    )
+    found = checks.check_relationships(fact, sessions, "session_id")
+    return found.select("check_name", F.col("observed").cast("double").alias("observed"))
