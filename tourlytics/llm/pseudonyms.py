@@ -4,14 +4,15 @@ A validated value is permuted within its own format by a keyed Feistel network,
 too, and equal values get equal pseudonyms in every document. Numbers with a check digit keep it right, and
 are looked for with every end (and cards with every start) that whole groups of digits allow, as neighbours
 such as an expiry or a year may look like a part of them.
-Everything is DataFrame functions; the key is a parameter.
+Everything is DataFrame functions; the key is a parameter, and the rounds are HMACs under it.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 10
@@ -20,7 +21,7 @@ KINDS = ("email", "iban", "ip", "date", "ssn", "phone", "card")  # tried in this
 #: The formats. Runs that could be long are possessive and never begun inside.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FORMATS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])",
@@ -41,6 +42,11 @@ FIRST_DAY, DAYS = "1900-01-01", 229 * 319  # to 2099-12-31
 _LOWER, _UPPER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, where a function over an array would do so for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
@@ -49,15 +55,28 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def _digest(key: str, tweak: str, turn: Column, half: Column, bits: int) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), turn.cast("string"), half), bits)
+def secret(spark: SparkSession, key: str) -> Column:
+    """The key, padded for HMAC, as a value that is read at run time: neither a plan nor a log shows it."""
+    pads = []
+    for name, block in (("sha256", 64), ("sha512", 128)):
+        short = hashlib.new(name, key.encode()).digest() if len(key.encode()) > block else key.encode()
+        pads += [bytes(b ^ mask for b in short.ljust(block, b"\0")) for mask in (0x36, 0x5C)]
+    kind = "k struct<inner256:binary,outer256:binary,inner512:binary,outer512:binary>"
+    return spark.createDataFrame([(tuple(pads),)], kind).scalar()
+
+
+def _digest(key: Column, tweak: str, turn: Column, half: Column, bits: int) -> Column:
+    """HMAC of a round's input, in hexadecimal."""
+    said = F.concat_ws("|", F.lit(tweak), turn.cast("string"), half).cast("binary")
+    inner = F.unhex(F.sha2(F.concat(key[f"inner{bits}"], said), bits))
+    return F.sha2(F.concat(key[f"outer{bits}"], inner), bits)
 
 
 def _number(hexadecimal: Column) -> Column:
     return F.conv(hexadecimal, 16, 10).cast("bigint")
 
 
-def permuted_number(n: Column, rows: int, columns: int, key: str, tweak: str) -> Column:
+def permuted_number(n: Column, rows: int, columns: int, key: Column, tweak: str) -> Column:
     """A keyed permutation of 0 .. rows * columns - 1."""
 
     def turn(acc: Column, k: Column) -> Column:
@@ -70,13 +89,11 @@ def permuted_number(n: Column, rows: int, columns: int, key: str, tweak: str) ->
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda acc: acc["row"] * columns + acc["column"])
 
 
-def permuted_text(text: Column, key: str, tweak: str) -> Column:
+def permuted_text(text: Column, key: Column, tweak: str) -> Column:
     """A keyed permutation of the strings with letters, capitals and digits in the same places."""
 
     def moved(half: Column, other: Column, k: Column) -> Column:
-        digest = _digest(key, tweak, k, other, 512)
-
-        def move(c: Column, i: Column) -> Column:
+        def move(digest: Column, c: Column, i: Column) -> Column:
             step = _number(F.substring(digest, (i % 42) * 3 + 1, F.lit(3)))
             out = c
             for alphabet in (_LOWER, _UPPER, _DIGITS):
@@ -85,7 +102,8 @@ def permuted_text(text: Column, key: str, tweak: str) -> Column:
                 out = F.when(at > 0, shifted).otherwise(out)
             return out
 
-        return F.array_join(F.transform(_characters(half), move), "")
+        digest = _digest(key, tweak, k, other, 512)
+        return _let(digest, lambda d: F.array_join(F.transform(_characters(half), lambda c, i: move(d, c, i)), ""))
 
     def turn(acc: Column, k: Column) -> Column:
         left = F.when(k % 2 == 0, moved(acc["left"], acc["right"], k)).otherwise(acc["left"])
@@ -100,13 +118,13 @@ def permuted_text(text: Column, key: str, tweak: str) -> Column:
 def refilled(text: Column, filling: Column, wanted: str) -> Column:
     """The text with its characters of a class replaced, in order, by those of ``filling``."""
 
-    def step(acc: Column, c: Column) -> Column:
+    def step(put: Column, acc: Column, c: Column) -> Column:
         mine = c.rlike(wanted)
-        put = F.when(mine, F.substring(filling, acc["k"], F.lit(1))).otherwise(c)
-        return F.struct(F.concat(acc["out"], put).alias("out"), (acc["k"] + mine.cast("int")).alias("k"))
+        one = F.when(mine, F.substring(put, acc["k"], F.lit(1))).otherwise(c)
+        return F.struct(F.concat(acc["out"], one).alias("out"), (acc["k"] + mine.cast("int")).alias("k"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("k"))
-    return F.aggregate(_characters(text), start, step, lambda acc: acc["out"])
+    return _let(filling, lambda put: F.aggregate(_characters(text), start, lambda acc, c: step(put, acc, c), lambda acc: acc["out"]))
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -125,12 +143,12 @@ def _mod_97(text: Column) -> Column:
     return F.aggregate(_characters(text), F.lit(0), step)
 
 
-def _email(m: Column, key: str) -> tuple[Column, Column]:
+def _email(m: Column, key: Column) -> tuple[Column, Column]:
     local, domain = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
     return F.lit(True), F.concat(permuted_text(local, key, "email"), F.lit("@"), domain)
 
 
-def _iban(m: Column, key: str) -> tuple[Column, Column]:
+def _iban(m: Column, key: Column) -> tuple[Column, Column]:
     plain = F.replace(m, F.lit(" "), F.lit(""))
     country, account = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
     valid = _mod_97(F.concat(account, F.substring(plain, 1, 4))) == 1
@@ -139,14 +157,14 @@ def _iban(m: Column, key: str) -> tuple[Column, Column]:
     return valid, refilled(m, F.concat(country, check, moved), "[A-Z0-9]")
 
 
-def _ip(m: Column, key: str) -> tuple[Column, Column]:
+def _ip(m: Column, key: Column) -> tuple[Column, Column]:
     number = F.aggregate(F.split(m, r"\."), F.lit(0).cast("bigint"), lambda a, x: a * 256 + x.cast("bigint"))
     moved = permuted_number(number, 1 << 16, 1 << 16, key, "ip")
     parts = F.transform(F.array(*[F.lit(s) for s in (24, 16, 8, 0)]), lambda s: F.pmod(F.floor(moved / F.pow(F.lit(2), s)), F.lit(256)).cast("string"))
     return F.lit(True), F.array_join(parts, ".")
 
 
-def _date(m: Column, key: str) -> tuple[Column, Column]:
+def _date(m: Column, key: Column) -> tuple[Column, Column]:
     layouts = {"-": "yyyy-MM-dd", ".": "dd.MM.yyyy", "/": "MM/dd/yyyy"}
     of = lambda f: F.when(F.instr(m, "-") > 0, f(layouts["-"])).when(F.instr(m, ".") > 0, f(layouts["."])).otherwise(f(layouts["/"]))
     day = F.datediff(of(lambda p: F.to_date(F.try_to_timestamp(m, F.lit(p)))), F.lit(FIRST_DAY).cast("date"))
@@ -154,7 +172,7 @@ def _date(m: Column, key: str) -> tuple[Column, Column]:
     return day.between(0, DAYS - 1), of(lambda p: F.date_format(moved, p))
 
 
-def _ssn(m: Column, key: str) -> tuple[Column, Column]:
+def _ssn(m: Column, key: Column) -> tuple[Column, Column]:
     area, group, serial = (F.split(m, "-")[k].cast("bigint") for k in range(3))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     place = area - F.when(area > 666, 2).otherwise(1)
@@ -164,19 +182,19 @@ def _ssn(m: Column, key: str) -> tuple[Column, Column]:
     return valid, F.concat_ws("-", *[F.lpad(x.cast("bigint").cast("string"), n, "0") for x, n in zip(out, (3, 2, 4), strict=True)])
 
 
-def _phone(m: Column, key: str) -> tuple[Column, Column]:
+def _phone(m: Column, key: Column) -> tuple[Column, Column]:
     digits = _digits(m)
     return F.lit(True), refilled(m, F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), permuted_text(F.substring(digits, -10, 10), key, "phone")), "[0-9]")
 
 
-def _card(m: Column, key: str) -> tuple[Column, Column]:
+def _card(m: Column, key: Column) -> tuple[Column, Column]:
     digits = _digits(m)
     body = F.concat(F.substring(digits, 1, 1), permuted_text(F.substring(digits, F.lit(2), F.length(digits) - 2), key, "card"))
     check = F.pmod(-_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
     return _luhn_sum(digits) % 10 == 0, refilled(m, F.concat(body, check), "[0-9]")
 
 
-_RULES: dict[str, Callable[[Column, str], tuple[Column, Column]]] = {
+_RULES: dict[str, Callable[[Column, Column], tuple[Column, Column]]] = {
     "email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card,
 }
 
@@ -194,11 +212,7 @@ _USUAL = {
 _OTHER = {"iban": [FORMATS["iban"]], "card": [rf"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)]}
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _checked(text: Column, kind: str, key: str) -> Column:
+def _checked(text: Column, kind: str, key: Column) -> Column:
     """A pattern of the valid values of a kind in a text; null if there are none."""
     beside = CHECKED[kind]
 
@@ -217,7 +231,7 @@ def _checked(text: Column, kind: str, key: str) -> Column:
     return F.when(text.rlike(FORMATS[kind]), _let(valid(text, [_USUAL[kind]]), both))
 
 
-def _pattern(text: Column, key: str) -> Column:
+def _pattern(text: Column, key: Column) -> Column:
     """The formats, those with a check digit as the valid values that the text holds."""
     plain = "|".join(FORMATS[k] for k in KINDS if k not in CHECKED)
     every = F.concat_ws("|", *[_checked(text, k, key) if k in CHECKED else F.lit(FORMATS[k]) for k in KINDS])
@@ -231,7 +245,7 @@ def _kind(m: Column) -> Column:
     return out
 
 
-def _replaced(x: Column, key: str) -> Column:
+def _replaced(x: Column, key: Column) -> Column:
     """kind and pseudonym of a match; the match itself, without a kind, if it is not valid."""
     name, out = F.lit(None).cast("string"), x["m"]
     for kind in KINDS:
@@ -252,13 +266,14 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     named n_<kind> are replaced.
     """
     columns = [c for c in docs.columns if c not in {f"n_{k}" for k in KINDS}]
-    text = F.col("text")
+    text, hidden = F.col("text"), F.col("key_")
     pattern = F.col("pattern_")
     found = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: F.struct(_kind(m).alias("kind"), m.alias("m")))
     none = F.array().cast("array<struct<kind:string,m:string>>")
-    out = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("pattern_", _pattern(text, key))
+    out = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("key_", secret(docs.sparkSession, key))
+    out = out.withColumn("pattern_", _pattern(text, hidden))
     out = out.withColumn("found_", F.when(F.rlike(text, pattern), found).otherwise(none))
-    out = out.withColumn("put_", F.transform("found_", lambda x: _replaced(x, key)))
+    out = out.withColumn("put_", F.transform("found_", lambda x: _replaced(x, hidden)))
     puts = F.concat(F.transform("put_", lambda x: x["put"]), F.array(F.lit("")))
     joined = F.array_join(F.flatten(F.zip_with(F.split(text, pattern, -1), puts, lambda gap, put: F.array(gap, put))), "")
     of = lambda kind: F.size(F.filter("put_", lambda x: x["kind"] == kind)).cast("long")
