@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -115,3 +116,17 @@ def test_no_messages_and_clashing_columns(spark):
     clash = frame(spark, [(1, 0, "a", "x"), (1, 1, "b", "> x\ny")]).selectExpr("*", "'z' passages", "5 depth", "6 said", "7 level", "'h' hash", "9 lines_")
     out = quotes.conversations(clash)
     assert [r["depth"] for r in out.collect()] == [0, 1] and {r["passages"] for r in out.collect()} == {"z"}
+
+
+def test_time_follows_a_run_of_blanks(spark):
+    def seconds(blanks):
+        talk = [(1, 0, "a", "word" + " " * blanks + "more" + " \t" * blanks), (1, 1, "b", "> word" + " " * blanks + "more\nyes" + "\n" * blanks + "x")]
+        df = spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")
+        begin = time.time()
+        rows = quotes.conversations(df).collect()
+        assert rows[1]["reply_to"] == 0 and rows[0]["text"].endswith("more") and rows[1]["text"].startswith("yes")
+        return time.time() - begin
+
+    seconds(10)
+    short, long = seconds(10_000), seconds(80_000)
+    assert long < 16 * max(short, 1.0)

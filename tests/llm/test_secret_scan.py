@@ -2,12 +2,13 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import pyspark.sql.functions as F
 import pytest
 
 from llm_frames import documents, ordered
-from tourlytics.llm import secret_scan
+from tourlytics.llm import regions, secret_scan
 
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]+")
@@ -90,3 +91,46 @@ def test_empty_tables(spark):
     assert set(model) == {0.0}
     assert secret_scan.scan(documents(spark, []), model).collect() == []
     assert secret_scan.train(secret_scan.labelled_tokens(documents(spark, []), 5, 5)) != model
+
+
+def test_time_follows_the_matches_of_one_text(spark, model):
+    def seconds(lines):
+        text = "\n".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(lines))
+        docs = documents(spark, [(1, text, "en", "s", 1)])
+        begin = time.time()
+        (row,) = secret_scan.scan(docs, model).select(F.size("hex").alias("n"), F.col("hex")[lines - 1]["e"].alias("end")).collect()
+        assert (row["n"], row["end"]) == (lines, len(text))
+        (row,) = secret_scan.redacted(docs, model).collect()
+        assert row["text"] == "\n".join(["[secret]"] * lines)
+        return time.time() - begin
+
+    seconds(10)
+    short, long = seconds(2000), seconds(16_000)
+    assert long < 16 * max(short, 1.0)
+
+
+def test_many_overlapping_spans_merge(spark):
+    rng = random.Random(4)
+    for count in (0, 1, 2, 50, 400):
+        spans = [(a, a + rng.randint(1, 9)) for a in (rng.randrange(2000) for _ in range(count))]
+        text = "".join(rng.choice("abé🎉") for _ in range(2010))
+        wanted, at = "", 0
+        found = []
+        for s, e in sorted(spans):
+            if found and s < found[-1][1]:
+                found[-1][1] = max(found[-1][1], e)
+            else:
+                found.append([s, e])
+        for s, e in found:
+            wanted += text[at:s] + "#" * (e - s)
+            at = e
+        df = spark.createDataFrame([(text, spans)], "text string, spans array<struct<s:int,e:int>>")
+        by = regions.replaced(F.col("text"), F.col("spans"), lambda size: F.repeat(F.lit("#"), size))
+        assert df.select(by).first()[0] == wanted + text[at:]
+
+
+def test_a_hot_id_does_not_fill_the_sample(spark):
+    rows = [(7, f"alpha beta {i % 50}", "en", "s", 1) for i in range(3000)] + [(i, "gamma delta", "en", "s", 1) for i in range(100, 140)]
+    words = secret_scan.labelled_tokens(documents(spark, rows), sample_documents=20, sample_random=1).where("not random")
+    hot = words.where("lower(token) like '%alpha%'").count()
+    assert hot <= 2 and words.where("lower(token) like '%gamma%'").count() >= 19

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .shared import forget, settle
 
 _LINE_END, _QUOTED = r"\r?\n", r"^[ \t]*>[> \t]*"
+_BLANKS = " \t\n\x0b\f\r"
 _PASSAGE, _LEVEL = "\x00", "\x01"  # taken out of texts before they mark anything
 
 
@@ -63,7 +64,7 @@ def passages(messages: DataFrame) -> DataFrame:
 def _own(found: Column) -> Column:
     """The message's own words, blank lines at both ends taken off."""
     said = F.transform(F.filter(found, lambda p: p["level"] == 0), lambda p: p["said"])
-    return F.regexp_replace(F.array_join(said, "\n"), r"^\s+|\s+$", "")
+    return F.btrim(F.array_join(said, "\n"), F.lit(_BLANKS))
 
 
 def quote_links(messages: DataFrame) -> DataFrame:
@@ -128,9 +129,11 @@ def conversations(messages: DataFrame) -> DataFrame:
     by_message = settle(by_message, "replies")
     threads = _threads(by_message.where("reply_to is not null"))
     kept = messages.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
-    said = F.when(F.col("text").isNotNull(), _own(F.col("passages"))).alias("text")
-    clean = passages(kept).select(*[said if c == "text" else F.col(f"row.`{c}`") for c in columns])
-    out = clean.join(by_message, ["conv_id", "turn"], "left").join(threads, ["conv_id", "turn"], "left")
+    keyed = kept.select("row", "text", F.col("row.conv_id").alias("conv_id"), F.col("row.turn").alias("turn"))
+    out = keyed.join(by_message, ["conv_id", "turn"], "left").join(threads, ["conv_id", "turn"], "left")
+    # Ordered first: sorting looks at its rows twice, and a text is parsed once, on its way out.
+    out = out.withColumn("root_turn", F.coalesce("root_turn", "turn")).orderBy("conv_id", "root_turn", "turn")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    out = out.select(*columns, "reply_to", F.coalesce("root_turn", "turn").alias("root_turn"), zero("depth"), zero("n_quoted"), zero("n_linked"))
-    return out.orderBy("conv_id", "root_turn", "turn")
+    said = F.when(F.col("text").isNotNull(), _own(F.col("passages"))).alias("text")
+    shown = [said if c == "text" else F.col(f"row.`{c}`") for c in columns]
+    return passages(out).select(*shown, "reply_to", "root_turn", zero("depth"), zero("n_quoted"), zero("n_linked"))

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .regions import EMPTY, matches, replaced
+from .regions import matches, replaced
 
 #: Kinds in the order they are listed, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "markov")
@@ -40,11 +40,14 @@ def _codes(token: Column) -> Column:
 def labelled_tokens(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sample_random: int = SAMPLE_RANDOM) -> DataFrame:
     """token, random: labelled samples. Ordinary ones are words of some documents, alone and joined as identifiers,
     and rules, dates and numbers. Random ones are hex, base-64 and capital strings made from
-    hashes, and the values of fixed patterns in the same documents. At most ``sample_documents`` ids, taken by
-    their hash, give words; rows without an id give none.
+    hashes, and the values of fixed patterns in the same documents. At most ``sample_documents`` rows give words:
+    the ids are taken by their hash, and of each id one text; rows without an id or a text give none.
     """
-    chosen = docs.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h").limit(sample_documents)
-    some = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    rows = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    drawn = rows.select(F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t")).groupBy("h").agg(F.min("t").alias("t"))
+    chosen = drawn.orderBy("h").limit(sample_documents)
+    some = rows.join(F.broadcast(chosen), (F.xxhash64("doc_id") == F.col("h")) & (F.xxhash64("text") == F.col("t")), "left_semi")
+    some = some.groupBy("doc_id").agg(F.first("text").alias("text"))  # copies of a row count once
     base = F.concat(*[F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (ACCESS, HEX)], F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)))
     known = some.select(F.explode(base).alias("token")).where(F.length("token") >= 12).select("token", F.lit(True).alias("random"))
     words = F.filter(F.split("text", r"[^A-Za-z]+"), lambda w: F.length(w) >= 2)
@@ -115,27 +118,15 @@ def scan(docs: DataFrame, model: list[float]) -> DataFrame:
     out = docs.withColumn("assign", F.filter(matches(text, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= ASSIGN_LEAST))
     out = out.withColumn("access", matches(text, ACCESS)).withColumn("hex", matches(text, HEX))
 
-    def left(x: Column) -> Column:
-        """The parts of a candidate between the base spans."""
-        base = F.filter(F.concat("assign", "access", "hex"), lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"]))
-        cuts = F.array_sort(F.transform(base, lambda y: F.struct(y["s"].alias("s"), y["e"].alias("e"))))
-        cuts = F.concat(cuts, F.array(F.struct(x["e"].alias("s"), x["e"].alias("e"))))
-        start = F.struct(F.array().cast(EMPTY).alias("out"), x["s"].alias("at"))
-
-        def cut(acc: Column, y: Column) -> Column:
-            size = y["s"] - acc["at"]
-            part = F.struct(acc["at"].alias("s"), y["s"].alias("e"), F.substring(x["m"], acc["at"] - x["s"] + 1, size).alias("m"))
-            out = F.when(size >= CANDIDATE_LEAST, F.concat(acc["out"], F.array(part))).otherwise(acc["out"])
-            return F.struct(out.alias("out"), F.greatest(acc["at"], y["e"]).alias("at"))
-
-        return F.when(F.size(base) > 0, F.aggregate(cuts, start, cut, lambda acc: acc["out"])).otherwise(F.array(x))
+    # Base spans are blanked out, so that a candidate ends there and its rest is a candidate by itself.
+    base = F.transform(F.concat("assign", "access", "hex"), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    out = out.withColumn("rest_", replaced(text, base, lambda size: F.repeat(F.lit(" "), size)))
 
     def likely(x: Column) -> Column:
         ratio = log_ratio(x["m"], model)
         return ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_MEAN * F.length(x["m"]))
 
-    found = F.filter(F.flatten(F.transform(matches(text, CANDIDATE), left)), likely)
-    return out.withColumn("markov", found)
+    return out.withColumn("markov", F.filter(matches(F.col("rest_"), CANDIDATE), likely)).drop("rest_")
 
 
 def listed(kinds: tuple[str, ...]) -> Column:
@@ -151,7 +142,7 @@ def redacted(docs: DataFrame, model: list[float], by: str = "[secret]") -> DataF
     found = scan(docs.select(F.struct("*").alias("row"), "text"), model)
     spans = F.transform(F.concat(*KINDS), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
     found = found.select("row", spans.alias("spans"), "text")
-    found = found.select("row", "spans", replaced(F.col("text"), F.col("spans"), F.lit(by)).alias("text"))
+    found = found.select("row", "spans", replaced(F.col("text"), F.col("spans"), lambda size: F.lit(by)).alias("text"))
     length = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
     new = {"text": F.col("text"), "n_chars": length}
     return found.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
