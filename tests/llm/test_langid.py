@@ -71,3 +71,14 @@ def test_gradients_match_differences():
         low = loss()
         p[at] = before
         assert (high - low) / 2e-2 == pytest.approx(g[at], rel=0.1, abs=2e-3)
+
+
+def test_a_hot_id_counts_once(spark, monkeypatch):
+    """5,000 rows of one id, some of them copies, leave one row's windows; the bound holds for rows."""
+    rows = [(7, f"the hot text number {i % 40} " * 30, "en") for i in range(5000)] + [(i, f"der andere text {i}", "de") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda codes, labels: seen.append(labels) or langid.Network.start(["en"]))
+    langid.fit(docs, sample_rows=120, per_row=5)
+    (labels,) = seen
+    assert len(labels) <= 120 * 5 and 1 <= labels.count("en") <= 5 < labels.count("de")

@@ -164,7 +164,7 @@ def remainder(doc_id: Column) -> Column:
 def _samples(per_row: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, out = [], []
+            keys, places, labels, out = [], [], [], []
             for label, key, text in zip(batch.column("lang").to_pylist(), batch.column("key").to_pylist(), raw(batch), strict=True):
                 if not has_letter(text):
                     continue
@@ -175,9 +175,12 @@ def _samples(per_row: int):
                     row = np.full(WINDOW, _BLANK, np.uint8)
                     some = codes[at : at + size]
                     row[: len(some)] = some
+                    keys.append(key)
+                    places.append(k)
                     labels.append(label)
                     out.append(row.tobytes())
-            yield pa.RecordBatch.from_pydict({"lang": pa.array(labels, pa.string()), "codes": pa.array(out, pa.binary())})
+            columns = [pa.array(keys, pa.int64()), pa.array(places, pa.int32()), pa.array(labels, pa.string()), pa.array(out, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "place", "lang", "codes"])
 
     return run
 
@@ -185,17 +188,20 @@ def _samples(per_row: int):
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, per_row: int = WINDOWS_PER_ROW) -> Network:
     """Fits the network on at most ``sample_rows`` rows with a text and a lang, spread over the languages.
 
-    ``labelled`` has doc_id, text and lang. Rows are taken by a hash of their id, a like number of each
-    language as far as there are any; each gives at most ``per_row`` windows, cut at random from the whole
+    ``labelled`` has doc_id, text and lang. Ids are taken by their hash, a like number of each language as
+    far as there are any, and of an id that repeats one row; each gives at most ``per_row`` windows, cut at random from the whole
     text in the tasks. Rows without text, letters or lang teach nothing. No rows at all give a network that
     predicts ``und``.
     """
-    rows = labelled.where("text is not null and lang is not null").select("doc_id", "lang", F.xxhash64("doc_id").alias("key"))
-    share = Window.partitionBy("lang", F.pmod("key", F.lit(SHARES))).orderBy("key", "doc_id")
-    ranked = rows.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= -(-sample_rows // SHARES))
-    chosen = ranked.orderBy("rank", "key").limit(sample_rows).select("doc_id", "key").distinct()
-    texts = labelled.where("lang is not null").select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id")
-    cut = texts.mapInArrow(_samples(per_row), "lang string, codes binary").collect()
+    known = labelled.where("doc_id is not null and text is not null and lang is not null")
+    rows = known.select("lang", "text", F.xxhash64("doc_id").alias("key"), F.xxhash64("text").alias("said"))
+    ids = rows.groupBy("key").agg(F.min(F.struct("said", "lang")).alias("one")).select("key", "one.*")
+    share = Window.partitionBy("lang", F.pmod("key", F.lit(SHARES))).orderBy("key")
+    ranked = ids.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= -(-sample_rows // SHARES))
+    chosen = ranked.orderBy("rank", "key").limit(sample_rows).select("key", "said", "lang")
+    texts = rows.join(F.broadcast(chosen), ["key", "said", "lang"], "left_semi")
+    # Copies of a chosen row give the same windows, which count once before they leave the tasks' side.
+    cut = texts.mapInArrow(_samples(per_row), "key long, place int, lang string, codes binary").distinct().collect()
     found = sorted((r["lang"], bytes(r["codes"])) for r in cut)
     if not found:
         return Network.start([UNKNOWN])
