@@ -103,3 +103,12 @@ def test_recall_near_the_bound(spark):
 
 def test_no_vectors(spark):
     assert pstable.linked(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("kind, labels", [("double", [1.2, 1.9, -0.0, 0.0]), ("string", ["a", "b", "c", "c"])])
+def test_labels_of_other_types(spark, kind, labels):
+    v = [1.0, 2.0, 3.0, -1.0]
+    rows = [(k, v, label) for k, label in enumerate([*labels, labels[0], None])]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pstable.linked(df).collect()}
+    assert found == {0: (1, 0), 1: (0, 1), 2: (1, 2), 3: (1, 2), 4: (1, 0), 5: (0, 5)}

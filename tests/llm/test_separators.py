@@ -54,3 +54,14 @@ def test_starts_follow_each_other(spark, small):
 
 def test_no_documents(spark):
     assert separators.counted(documents(spark, [])).collect() == []
+
+
+def test_wide_ids(spark):
+    """The same files with four bytes a token, an end id above two bytes, and one that does not fit."""
+    docs = documents(spark)
+    narrow, wide = (separators.counted(docs, block_tokens=9, width=w).select("doc_id", "n_tokens").collect() for w in (None, 4))
+    assert ordered(narrow) == ordered(wide) and separators.token_width() == 2
+    far = separators.counted(docs, end_id=70_000, width=4).select("doc_id", "n_tokens").collect()
+    assert ordered(far) == ordered(narrow)
+    with pytest.raises(Exception, match="70000 does not fit 2 bytes"):
+        separators.counted(docs, end_id=70_000).collect()

@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import connected
 from .shared import parts, settle
@@ -51,50 +52,54 @@ def _signatures(unit: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
-def _units(blobs: list[bytes]) -> np.ndarray:
+def _units(blobs: list[bytes], kind: str) -> np.ndarray:
     """Vectors of one dimension, scaled to length one in double precision."""
-    x = np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+    x = np.frombuffer(b"".join(blobs), kind).astype(np.float64).reshape(len(blobs), -1)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as bytes of doubles; null where the vector can link with nothing."""
-    for batch in batches:
-        out = []
-        for x in batch.column("embedding"):
-            v = None
-            if x.is_valid and len(x) and x.values.null_count == 0:
-                v = np.asarray(x.values.to_numpy(zero_copy_only=False), np.float64)
-                v = v if np.isfinite(v).all() and v.any() else None
-            out.append(None if v is None else (v + 0.0).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(out, pa.binary())], ["vec_id", "label", "v"])
+def _clean(kind: str):
+    """Vectors as bytes of their own precision; null where the vector can link with nothing."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x in batch.column("embedding"):
+                v = None
+                if x.is_valid and len(x) and x.values.null_count == 0:
+                    v = np.asarray(x.values.to_numpy(zero_copy_only=False), kind)
+                    v = v if np.isfinite(v).all() and v.any() else None
+                out.append(None if v is None else (v + v.dtype.type(0)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(out, pa.binary())], ["vec_id", "label", "v"])
+
+    return run
+
+
+def _hash(seed: int, kind: str):
+    """The cells of each vector, one a table, without the vector."""
 
-def _hash(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blobs = batch.column("v").to_pylist()
-            salt = np.array([hash(x) & (2**64 - 1) if x is not None else 0 for x in batch.column("label").to_pylist()], np.uint64)
+            salt = batch.column("label").to_numpy().view(np.uint64)
             sizes = np.array([len(b) for b in blobs])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                found = _signatures(_units([blobs[i] for i in at]), seed)
+                found = _signatures(_units([blobs[i] for i in at], kind), seed)
                 keys = ((found ^ (salt[at][:, None] + np.uint64(int(size) * int(_MIX) % 2**64))) + np.arange(TABLES, dtype=np.uint64)[None, :]) * _MIX
                 keys ^= keys >> np.uint64(31)
                 rows = pa.array(np.repeat(at, TABLES))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(at))),
-                        batch.column("cid").take(rows), batch.column("label").take(rows), batch.column("n").take(rows), batch.column("v").take(rows),
-                    ],
-                    ["cell", "tab", "cid", "label", "n", "v"],
-                )
+                columns = [
+                    pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(at))),
+                    batch.column("cid").take(rows), batch.column("label").take(rows),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", "tab", "cid", "label"])
 
     return run
 
 
-def _compare(least: float, seed: int):
+def _compare(least: float, seed: int, kind: str):
     def run(rows: pa.Table) -> pa.Table:
         found: list[tuple[int, int | None, int]] = []
         rows = rows.sort_by([(k, "ascending") for k in ("cell", "tab", "label", "low", "high", "chunk", "cid")])
@@ -110,7 +115,7 @@ def _compare(least: float, seed: int):
                     continue
                 for s in np.unique(size[a:b]):
                     at = a + np.flatnonzero(size[a:b] == s)
-                    found += _pairs([blobs[i] for i in at], cid[at], n[at], chunk[at], int(tab[a]), low[a] == high[a], least, seed)
+                    found += _pairs([blobs[i] for i in at], cid[at], n[at], chunk[at], int(tab[a]), low[a] == high[a], least, seed, kind)
         return pa.table(
             {
                 "a": pa.array([x[0] for x in found], pa.int64()),
@@ -122,9 +127,9 @@ def _compare(least: float, seed: int):
     return run
 
 
-def _pairs(blobs, cid, n, chunk, tab, same_chunk, least, seed) -> list[tuple[int, int | None, int]]:
+def _pairs(blobs, cid, n, chunk, tab, same_chunk, least, seed, kind) -> list[tuple[int, int | None, int]]:
     """Link counts of the vectors of one cell, and a forest of their links."""
-    unit = _units(blobs)
+    unit = _units(blobs, kind)
     if same_chunk:
         left = right = np.arange(len(unit))
     else:
@@ -162,6 +167,15 @@ def _tops(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
         top = new
 
 
+def _label(vectors: DataFrame) -> Column:
+    """Whole numbers as they are; any other label by its 64-bit hash, so that labels of every type keep apart."""
+    kind, label = vectors.schema["label"].dataType, F.col("label")
+    if isinstance(kind, T.IntegralType):
+        return label.cast("long")
+    plain = label + 0.0 if isinstance(kind, T.FractionalType) else label
+    return F.when(label.isNotNull(), F.xxhash64(plain))
+
+
 def linked(vectors: DataFrame, least: float = LEAST_COSINE, seed: int = 7, chunk: int = CHUNK) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``vectors`` (vec_id, embedding, label).
 
@@ -172,29 +186,33 @@ def linked(vectors: DataFrame, least: float = LEAST_COSINE, seed: int = 7, chunk
     0.0004, closer ones more rarely, equal vectors never. Repeated rows link with each other like any two.
     A component is named by its smallest vec_id; rows without an id are never kept.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
-    clean = settle(rows.mapInArrow(_clean, "vec_id long, label long, v binary").withColumn("h", F.sha2("v", 256)), "vectors")
+    kind = "<f4" if vectors.schema["embedding"].dataType == T.ArrayType(T.FloatType()) else "<f8"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), _label(vectors).alias("label"), "embedding")
+    clean = settle(rows.mapInArrow(_clean(kind), "vec_id long, label long, v binary").withColumn("h", F.sha2("v", 256)), "vectors")
     usable = clean.where("v is not null and label is not null")
     classes = usable.groupBy("label", "h").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least_id"))
     classes = settle(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    cells = classes.select("cid", "label", "n", "v").mapInArrow(_hash(seed), "cell long, tab int, cid long, label long, n long, v binary")
+    cells = classes.select("cid", "label", "v").mapInArrow(_hash(seed, kind), "cell long, tab int, cid long, label long")
     sizes = cells.groupBy("cell", "tab", "label").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     # Written first, so that both sides of the join are plain shuffles and a cell with many rows is split.
     sizes = settle(sizes, "cells")
     shared = cells.join(sizes, ["cell", "tab", "label"])
     chunks = F.ceil(F.col("size") / chunk).cast("int")
     own = shared.withColumn("chunks", chunks).withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+    # Vectors join the cells that several of them share, and no others.
+    own = own.join(classes.select("cid", "n", "v"), "cid")
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.select("cell", "tab", "label", "cid", "n", "v", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
     copies = sizes.agg(F.coalesce(F.sum(F.col("size") * chunks), F.lit(0)).alias("n")).first()["n"]
     tasks = parts(max(classes.count() * TABLES, copies), ROWS_PER_TASK, 12)
     dealt = dealt.withColumn("task", F.pmod(F.xxhash64("cell", "tab", "label", "low", "high"), F.lit(tasks)))
-    found = settle(dealt.groupBy("task").applyInArrow(_compare(least, seed), "a long, b long, links long"), "links")
+    found = settle(dealt.groupBy("task").applyInArrow(_compare(least, seed, kind), "a long, b long, links long"), "links")
     counts = found.groupBy(F.col("a").alias("cid")).agg(F.sum("links").alias("links"))
     tied = connected(found.where("b is not null").select("a", "b")).select(F.col("node").alias("cid"), "component")
     named = classes.select("cid", "label", "h", "n", "least_id").join(counts, "cid", "left").join(tied, "cid", "left")
     named = named.withColumn("component", F.coalesce("component", "cid"))
-    least_id = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    # Written, as above: a giant component can be split.
+    least_id = settle(named.groupBy("component").agg(F.min("least_id").alias("component_id")), "least")
     named = named.join(least_id, "component").select("label", "h", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     out = clean.drop("v").join(named, ["label", "h"], "left")
     name = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import settle
-from .tokens import chunks_of, public_path
+from .tokens import chunks_of, public_path, vocabulary_size
 
 BLOCK_TOKENS = 1 << 18
 SPAN_BLOCKS = 4096
@@ -24,7 +24,12 @@ END_ID = 49407  # <|endoftext|> of word_bpe_49k
 WIDTHS = {2: "<u2", 4: "<u4"}  # bytes of a token
 
 
-def _write(path: str, end_id: int, block_tokens: int):
+def token_width(tokenizer: str | None = None) -> int:
+    """Bytes that the ids of a tokenizer need."""
+    return 2 if vocabulary_size(tokenizer or public_path("word_bpe_49k.json")) <= 1 << 16 else 4
+
+
+def _write(path: str, end_id: int, block_tokens: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -32,7 +37,9 @@ def _write(path: str, end_id: int, block_tokens: int):
         file, held, size, block = str(TaskContext.get().partitionId()), [], 0, 0
 
         def row(block: int | None, tokens: np.ndarray | None, part: int | None = None, ids: list | None = None) -> pa.RecordBatch:
-            blob = None if tokens is None else tokens.astype("<u2").tobytes()
+            if tokens is not None and len(tokens) and int(tokens.max()) >> (8 * width):
+                raise ValueError(f"token {int(tokens.max())} does not fit {width} bytes")
+            blob = None if tokens is None else tokens.astype(WIDTHS[width]).tobytes()
             values = [[file], [block], [blob], [part], [ids]]
             kinds = [pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], ["file", "block", "tokens", "part", "ids"])
@@ -54,16 +61,19 @@ def _write(path: str, end_id: int, block_tokens: int):
     return run
 
 
-def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> tuple[DataFrame, DataFrame]:
+def write_token_files(
+    docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS, width: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Flat token files of the texts, an end id after each, and the ids of the documents in file order.
 
     One file a partition of ``docs``; a block takes no notice of where documents end. The second frame (file,
     part, ids) says whose tokens they are, in order, but not where. Null and empty texts give an end id alone. Text
-    that spells a special token is tokenized as text, so only real ends are ends.
+    that spells a special token is tokenized as text, so only real ends are ends. A token takes ``width`` bytes,
+    those that the vocabulary needs unless given; an id that does not fit is an error.
     """
     path = tokenizer or public_path("word_bpe_49k.json")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    written = rows.mapInArrow(_write(path, end_id, block_tokens), "file string, block long, tokens binary, part long, ids array<long>")
+    written = rows.mapInArrow(_write(path, end_id, block_tokens, width or token_width(path)), "file string, block long, tokens binary, part long, ids array<long>")
     name = settle(written, "tokens", compression="zstd")
     blocks = name.where("tokens is not null").select("file", "block", "tokens")
     return blocks, name.where("ids is not null").select("file", "part", "ids")
@@ -134,10 +144,13 @@ def documents_in(blocks: DataFrame, end_id: int = END_ID, width: int = 2, span_b
     return closed.unionByName(tail.select("file", "ordinal", "start", (F.col("n") - F.col("start")).alias("length"), F.lit(False).alias("closed")))
 
 
-def counted(docs: DataFrame, tokenizer: str | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def counted(
+    docs: DataFrame, tokenizer: str | None = None, block_tokens: int = BLOCK_TOKENS, end_id: int = END_ID, width: int | None = None
+) -> DataFrame:
     """doc_id, file, start, n_tokens: tokens of each document, read off the flat files written from ``docs``."""
-    blocks, listed = write_token_files(docs, tokenizer, block_tokens=block_tokens)
-    found = documents_in(blocks)
+    width = width or token_width(tokenizer)
+    blocks, listed = write_token_files(docs, tokenizer, end_id, block_tokens, width)
+    found = documents_in(blocks, end_id, width)
     order = Window.partitionBy("file").orderBy("part")
     sized = listed.withColumn("n", F.size("ids"))
     base = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

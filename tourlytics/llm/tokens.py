@@ -159,6 +159,12 @@ def chunks_of(path: str, plain_specials: bool = False) -> Chunks:
     return _stores[key]
 
 
+def vocabulary_size(path: str) -> int:
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+
+
 def public_path(name: str) -> str:
     """Where a public tokenizer file of the installed package is."""
     import public_tokenizers
