@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -51,6 +52,35 @@ def test_leaks_match_brute_force(spark, block_bytes):
     assert ordered(got) == ordered(brute([(r["doc_id"], r["text"]) for r in docs.collect()], ITEMS))
 
 
+@pytest.mark.parametrize("block_bytes", [40, 400])
+def test_several_blocks_agree_with_one(spark, monkeypatch, block_bytes):
+    """Random texts, items longer than a block, copies, repeated ids and clashing names; no document is written."""
+    rng = random.Random(block_bytes)
+    text = lambda n: " ".join(rng.choice("ab") + rng.choice("cd") for _ in range(n))
+    rows = [(k % 7, text(rng.randrange(60)), "x", [k]) for k in range(40)] + [(3, None, "k", [1]), (None, "", "k", None)]
+    docs = spark.createDataFrame(rows + rows[:9], "doc_id long, text string, key string, starts array<int>")
+    items = spark.createDataFrame([(k % 9 or None, text(n)) for k, n in enumerate([3, 9, 10, 11, 25, 60, 200, 0])], "item_id long, text string")
+    one = decontaminate.leaks(docs, items, window=6)
+    kept, plain = [], decontaminate.settle
+    monkeypatch.setattr(decontaminate, "settle", lambda df, name: kept.append(df.columns) or plain(df, name))
+    many = decontaminate.leaks(docs, items, window=6, block_bytes=block_bytes)
+    assert len(kept) > 2 and all(c == ["key", "starts", "ends", "items"] for c in kept)
+    assert many.columns == one.columns and many.schema.simpleString() == one.schema.simpleString()
+    assert ordered(many.collect()) == ordered(one.collect())
+    assert 0 < one.where("size(starts) > 0").count() < one.count()
+
+
+def test_a_long_item_keeps_all_its_windows():
+    """Every window is in one stretch only, and no stretch is much longer than asked."""
+    for n in (0, 1, 9, 10, 11, 57, 500):
+        text = " ".join(f"w{i}" for i in range(n)).encode()
+        for size in (1, 30, 100, 10_000):
+            found = [w.split() for w in decontaminate._stretches(text, 10, size)]
+            windows = [tuple(w[i : i + 10]) for w in found for i in range(max(1, len(w) - 9) if w else 0)]
+            assert windows == [tuple(text.split()[i : i + 10]) for i in range(max(1, n - 9) if n else 0)]
+            assert all(len(w) <= max(19, size) for w in found)
+
+
 def test_items_without_an_id_hit_words(spark):
     docs = documents(spark, [(1, "the old river bank", None, None, None), (2, "a one two", None, None, None)])
     items = spark.createDataFrame([(None, "old river"), (7, "bank"), (None, "old river"), (None, "two")], "item_id long, text string")

@@ -32,6 +32,25 @@ def test_flat_files(spark, tmp_path, block_tokens, span_blocks):
     assert ordered(got) == ordered((k, *x) for k, ids in enumerate(files) for x in brute(ids.tolist(), 65535))
 
 
+@pytest.mark.parametrize("width", [2, 4])
+def test_files_are_read_by_range(spark, tmp_path, width):
+    """Ranges of two blocks, a last block that is short, names with blanks, and a file cut inside a token."""
+    rng = np.random.default_rng(width)
+    files = {"a b.bin": rng.integers(0, 60_000, 1001), "c%20d.bin": rng.integers(0, 60_000, 20), "empty.bin": np.zeros(0, int)}
+    for name, ids in files.items():
+        ids.astype(separators.WIDTHS[width]).tofile(tmp_path / name)
+    opened = separators.open_range
+    found = separators.read_flat(spark, str(tmp_path), 10, width, range_bytes=25 * width, open_file=lambda path: opened(path))
+    assert found.rdd.getNumPartitions() == 51 + 1
+    for name, ids in files.items():
+        rows = found.where(found["file"].endswith(name)).orderBy("block").collect()
+        assert [r["block"] for r in rows] == list(range(-(-len(ids) // 10)))
+        assert b"".join(bytes(r["tokens"]) for r in rows) == ids.astype(separators.WIDTHS[width]).tobytes()
+    (tmp_path / "cut.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="middle of a token"):
+        separators.read_flat(spark, str(tmp_path), 10, width).collect()
+
+
 @pytest.mark.parametrize("block_tokens", [5, 1 << 18])
 def test_counts_match_the_tokenizer(spark, block_tokens):
     docs = documents(spark)

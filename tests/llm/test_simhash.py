@@ -88,5 +88,13 @@ def test_one_row_of_each_group_stays(spark):
     assert simhash.one_of_each(documents(spark, [])).collect() == []
 
 
+def test_repeated_rows_leave_one(spark):
+    """Rows that share id and text leave one, and null ids stand behind others of their group."""
+    rows = [(1, "a b c d", "x")] * 50 + [(None, "e f g h", "y")] * 50 + [(0, "i j k l", "z"), (None, None, "n"), (7, None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    kept = simhash.one_of_each(docs)
+    assert ordered([r["doc_id"], r["text"], r["id"]] for r in kept.collect()) == ordered([[1, "a b c d", "x"], [None, "e f g h", "y"], [0, "i j k l", "z"], [7, None, "n"]])
+
+
 def test_no_documents(spark):
     assert simhash.near_duplicates(documents(spark, [])).collect() == []

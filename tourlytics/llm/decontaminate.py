@@ -8,7 +8,8 @@ the words left on both sides must be enough (length bound); the words are then c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import raw, settle
+from .shared import forget, raw, settle
 
 WINDOW = 10
 SHINGLE = 3
@@ -24,7 +25,9 @@ BLOCK_BYTES = 4 << 20  # benchmark text that one broadcast holds; larger benchma
 
 #: ASCII letters in lower case and digits stay, other ASCII bytes part words, bytes above stay.
 _TABLE = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _FOUND = ("n_words", "starts", "ends", "items")
+_KINDS = "n_words long, starts array<long>, ends array<long>, items array<string>"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -90,17 +93,28 @@ class _Block:
         return {w: tuple(np.concatenate(x) for x in parts) for w, parts in out.items()}
 
 
+def _stretches(text: bytes, window: int, block_bytes: int) -> Iterator[bytes]:
+    """An item's text, or if it is longer than a block its words in stretches that have all its windows, each once."""
+    if len(text) <= block_bytes:
+        yield text
+        return
+    words = words_of(text)
+    step = max(window, len(words) * block_bytes // len(text))
+    for at in range(0, max(1, len(words) - window + 1), step):
+        yield b" ".join(words[at : at + step + window - 1])
+
+
 def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[_Block]:
     """Items in blocks of bounded text; they come to the driver one row after the other."""
     rows, size, some = [], 0, False
     texts = benchmark.select(F.col("item_id").cast("string").alias("i"), F.encode("text", "UTF-8").alias("t"))
     for row in texts.toLocalIterator():
-        text = bytes(row["t"]) if row["t"] is not None else None
-        rows.append((row["i"], text))
-        size += len(text or b"")
-        if size >= block_bytes:
-            yield _Block(rows, window)
-            rows, size, some = [], 0, True
+        for text in _stretches(bytes(row["t"] or b""), window, block_bytes):
+            rows.append((row["i"], text))
+            size += len(text)
+            if size >= block_bytes:
+                yield _Block(rows, window)
+                rows, size, some = [], 0, True
     if rows or not some:
         yield _Block(rows, window)
 
@@ -171,30 +185,34 @@ class _Index:
                         yield item, start, end
 
 
-def _scan(shared):
+def _merged(spans: Iterable[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover."""
+    merged: list[list[int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(b, merged[-1][1])
+        else:
+            merged.append([a, b])
+    return [a for a, _ in merged], [b for _, b in merged]
+
+
+def _scan(shared, left_out: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: _Index = shared.value
         for batch in batches:
             count, starts, ends, items = [], [], [], []
-            before = zip(batch.column("starts").to_pylist(), batch.column("ends").to_pylist(), batch.column("items").to_pylist(), strict=True)
-            for text, (s, e, i) in zip(raw(batch), before, strict=True):
-                words, ids = words_of(text), set(i)
-                spans = set(zip(s, e, strict=True))
+            for text in raw(batch):
+                words, ids, spans = words_of(text), set(), set()
                 for item, start, end in index.find(words):
                     spans.add((start, end))
                     if index.block.ids[item] is not None:
                         ids.add(index.block.ids[item])
-                merged: list[list[int]] = []
-                for a, b in sorted(spans):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
+                begin, stop = _merged(spans)
                 count.append(len(words))
-                starts.append([a for a, _ in merged])
-                ends.append([b for _, b in merged])
+                starts.append(begin)
+                ends.append(stop)
                 items.append(sorted(ids))
-            kept = [n for n in batch.schema.names if n not in _FOUND]
+            kept = [n for n in batch.schema.names if n not in left_out]
             lists = pa.list_(pa.int64())
             found = [pa.array(count, pa.int64()), pa.array(starts, lists), pa.array(ends, lists), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + found, kept + list(_FOUND))
@@ -202,6 +220,39 @@ def _scan(shared):
     return run
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What several blocks have found in a text, as one."""
+    for batch in batches:
+        starts, ends, items = [], [], []
+        columns = (batch.column(n).to_pylist() for n in ("starts", "ends", "items"))
+        for s, e, i in zip(*columns, strict=True):
+            begin, stop = _merged((x, y) for a, b in zip(s, e, strict=True) for x, y in zip(a, b, strict=True))
+            starts.append(begin)
+            ends.append(stop)
+            items.append(sorted({x for some in i for x in some}))
+        lists = pa.list_(pa.int64())
+        found = [batch.column("key"), pa.array(starts, lists), pa.array(ends, lists), pa.array(items, pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(found, ["key", *_FOUND[1:]])
+
+
+def _by_text(docs: DataFrame, blocks: Iterator[_Block], shingle: int) -> DataFrame:
+    """key (digest of a text), starts, ends and items of the texts in which some block has windows; written."""
+    texts, each = docs.select(F.sha2("text", 256).alias("key"), "text"), []
+    for block in blocks:
+        shared = docs.sparkSession.sparkContext.broadcast(_Index(docs, block, shingle))
+        hits = texts.mapInArrow(_scan(shared, ("text",)), f"key string, {_KINDS}").where(F.size("starts") > 0)
+        each.append(settle(hits.dropDuplicates(["key"]).drop("n_words"), "leaks"))
+        shared.unpersist()
+    every = each[0]
+    for more in each[1:]:
+        every = every.union(more)
+    lists = every.groupBy("key").agg(*[F.collect_list(n).alias(n) for n in _FOUND[1:]])  # at most a row a block each
+    found = settle(lists.mapInArrow(_together, f"key string, {_KINDS.split(', ', 1)[1]}"), "leaks")
+    for one in each:
+        forget(one)
+    return found
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` with n_words, starts and ends of hit word spans (merged), items: sorted ids as strings.
 
@@ -209,17 +260,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle:
     window. Null and empty texts have no words and no hits; items without words hit
     nothing, those without an id hit words but are not listed; repeated items and windows count once. One row for each row of ``docs``, repeated ids too;
     columns of the added names are replaced. The benchmark is held in blocks of ``block_bytes`` of text: each
-    block counts its shingles over all documents and adds its hits to the rows, which are written between
-    blocks, so that a task holds one block at a time; a larger benchmark takes more blocks, in the same way.
+    block counts its shingles over all documents and searches them, so that a task holds one block at a time; an
+    item longer than a block takes several. Of several blocks each writes its hits, a row for each text that has
+    some, and the rows are joined with what all have found by the text's digest; the documents are not written.
     """
-    longs, strings = F.array().cast("array<long>"), F.array().cast("array<string>")
-    empty = [F.lit(0).cast("long"), longs, longs, strings]
-    out = docs.drop(*_FOUND).select("*", *[c.alias(n) for c, n in zip(empty, _FOUND, strict=True)])
-    kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-    for k, block in enumerate(_blocks(benchmark, window, block_bytes)):
-        shared = docs.sparkSession.sparkContext.broadcast(_Index(docs, block, shingle))
-        out = (settle(out, "leaks") if k else out).mapInArrow(_scan(shared), kind)
-    return out
+    rows = docs.drop(*_FOUND)
+    blocks = _blocks(benchmark, window, block_bytes)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        shared = docs.sparkSession.sparkContext.broadcast(_Index(docs, first, shingle))
+        kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        return rows.mapInArrow(_scan(shared), f"{kind}, {_KINDS}")
+    found = _by_text(docs, chain([first, second], blocks), shingle)
+    keyed = rows.select(F.struct("*").alias("row"), F.sha2("text", 256).alias("key"))
+    words = F.coalesce(F.regexp_count("row.text", F.lit(_WORD)), F.lit(0)).cast("long").alias("n_words")
+    lists = [F.coalesce(n, F.array().cast(found.schema[n].dataType)).alias(n) for n in _FOUND[1:]]
+    return keyed.join(found, "key", "left").select("row.*", words, *lists)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

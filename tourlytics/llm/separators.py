@@ -8,10 +8,13 @@ of documents before it and where the document that runs into it began.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import NativeFile
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from .tokens import chunks_of, public_path, vocabulary_size
 
 BLOCK_TOKENS = 1 << 18
 SPAN_BLOCKS = 4096
+RANGE_BYTES = 128 << 20  # of a file, that one task reads
 END_ID = 49407  # <|endoftext|> of word_bpe_49k
 WIDTHS = {2: "<u2", 4: "<u4"}  # bytes of a token
 
@@ -79,17 +83,44 @@ def write_token_files(
     return blocks, name.where("ids is not null").select("file", "part", "ids")
 
 
-def read_flat(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS, width: int = 2) -> DataFrame:
-    """The blocks of binary token files at a path. A file is read whole by one task, so shards should be small."""
+def open_range(path: str) -> NativeFile:
+    """A file that ranges can be read of, in any store that Arrow reaches."""
+    system, inside = FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/@"))
+    return system.open_input_file(inside)
+
+
+def read_flat(
+    spark: SparkSession,
+    path: str,
+    block_tokens: int = BLOCK_TOKENS,
+    width: int = 2,
+    range_bytes: int = RANGE_BYTES,
+    open_file: Callable[[str], NativeFile] = open_range,
+) -> DataFrame:
+    """The blocks of binary token files at a path: file, block (from 0), tokens.
+
+    Spark lists the files, without their content; ranges of whole blocks of about ``range_bytes`` are dealt to
+    tasks, which read a block at a time, so files may have any size. ``open_file`` opens a listed path for
+    ``read_at`` where Arrow does not know the store. Empty files have no blocks; an end in the middle of a
+    token is an error.
+    """
+    step = block_tokens * width
+    some = max(1, range_bytes // step) * step
+    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")
+    firsts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(some).cast("long"))
+    ranges = files.select("path", "length", F.explode(firsts).alias("first"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                step = block_tokens * width
-                for k, at in enumerate(range(0, len(content), step)):
-                    yield pa.RecordBatch.from_pydict({"file": [name], "block": pa.array([k], pa.int64()), "tokens": [content[at : at + step]]})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, tokens binary")
+            for row in batch.to_pylist():
+                if row["length"] % width:
+                    raise ValueError(f"{row['path']} ends in the middle of a token")
+                with open_file(row["path"]) as file:
+                    for at in range(row["first"], min(row["first"] + some, row["length"]), step):
+                        tokens = file.read_at(min(step, row["length"] - at), at)
+                        yield pa.RecordBatch.from_pydict({"file": [row["path"]], "block": pa.array([at // step], pa.int64()), "tokens": [tokens]})
+
+    return ranges.repartition(max(1, ranges.count()), "path", "first").mapInArrow(run, "file string, block long, tokens binary")
 
 
 def _search(end_id: int, width: int):

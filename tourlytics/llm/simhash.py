@@ -187,7 +187,8 @@ def _groups(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     lowest = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "distinct")
     tied = connected(links(lowest)).select(F.col("node").alias("fp"), "component")
     named = lowest.join(tied, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("lowest").alias("component_id"))
+    # Written first, so that both sides of the join are plain shuffles and a giant component can be split.
+    least = settle(named.groupBy("component").agg(F.min("lowest").alias("component_id")), "least")
     return prints, named.join(least, "component").select("fp", "component", "component_id")
 
 
@@ -210,10 +211,12 @@ def one_of_each(docs: DataFrame, width: int = 3) -> DataFrame:
     """
     prints, groups = _groups(docs, width)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
-    kept = prints.join(groups, "fp").groupBy("component").agg(first).select("first.doc_id", "first.text_key").distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
-    stay = rows.join(kept, rows["id"].eqNullSafe(kept["doc_id"]) & (rows["key"] == kept["text_key"]), "left_semi")
-    return stay.dropDuplicates(["id", "key"]).select("row.*")
+    kept = prints.join(groups, "fp").groupBy("component").agg(first).select("first.none", "first.doc_id", "first.text_key").distinct()
+    named = [F.coalesce("doc_id", F.lit(0)).cast("long").alias("id"), F.col("doc_id").isNull().alias("none")]
+    rows = docs.select(F.struct("*").alias("row"), *named, F.xxhash64("text").alias("key"))
+    # Repeated rows go before the texts are shuffled, once: the join has the same keys.
+    single = rows.dropDuplicates(["id", "none", "key"])
+    return single.join(kept.select(*named, F.col("text_key").alias("key")), ["id", "none", "key"], "left_semi").select("row.*")
 
 
 def hex_digits(column: Column) -> Column:
