@@ -64,6 +64,24 @@ def test_blocks_rise_with_the_ids(spark, ranges):
     assert len(set(found)) == len(set(ids)) - 1
 
 
+@pytest.mark.parametrize("hot", [None, 5, 2**63 - 1])
+@pytest.mark.parametrize("ranges", [3, 4096])
+def test_an_id_of_many_rows(spark, hot, ranges):
+    rng = random.Random(str(hot))
+    pool = [[rng.choice("abcde") for _ in range(30)] for _ in range(20)]
+    rows = []
+    for _ in range(150):
+        words = [w for _ in range(rng.randint(1, 4)) for w in (*rng.choice(pool)[rng.randrange(20) :], rng.choice("xyz"))]
+        rows.append((hot if rng.random() < 0.5 else rng.randrange(10), " ".join(words), None, None, None))
+    rows += [(hot, "copies " + " ".join(pool[0]), None, None, None)] * 2100 + [(hot, None, None, None, None)] * 3
+    docs = documents(spark, rows)
+    dealt = phrases.blocks_of(docs, 2000, ranges)[0].collect()
+    mine = {r["block"] for r in dealt if r["doc_id"] == (phrases.MISSING_ID if hot is None else hot)}
+    assert len(mine) > 5 and sum(r["copies"] for r in dealt) == len(rows)
+    assert len({r["block"] >> phrases.PART_BITS for r in dealt if r["block"] in mine}) == 1
+    assert check(spark, docs, 6, 2000, ranges) > 0
+
+
 def test_whole_table(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     assert check(spark, docs, 20, 40_000) > 0

@@ -7,6 +7,9 @@ windows, and sends the passages to those blocks. Each block compiles the passage
 automaton, streams all its documents through it, and compares around every hit word by word. So hashes only
 route passages; what is removed rests on equal words. The automaton holds tiles of half a window, as every
 window inside a passage holds a whole tile.
+
+An id that many rows share has several blocks of its own. They tell the bucket where in its text each window
+starts, so that of these blocks the one with the earliest start counts as the first.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import MISSING_ID, parts, raw, text_bytes
+from .shared import MISSING_ID, parts, raw, settle, text_bytes
 
 WIDTH = 20
 BLOCK_BYTES = 8 << 20  # of text in a block, about; blocks grow in number only
@@ -31,6 +34,8 @@ CODE = 3
 UNKNOWN = "\0" * CODE
 
 RANGES = 4096  # bounds of ids that are sent to tasks, at most
+PART_BITS = 32  # the low bits of a block's number: the part of an id that many rows share, else zero
+COPIES = 1000  # rows that one row is unfolded to at a time
 
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -83,6 +88,10 @@ class _Block:
         distinct, first, self.counts = np.unique(hashes, return_index=True, return_counts=True)
         return distinct, starts[first]
 
+    def in_text(self, places: np.ndarray) -> np.ndarray:
+        """The words of their own texts at which windows start."""
+        return places - self.offsets[np.searchsorted(self.offsets, places, side="right") - 1]
+
     def runs(self, places: np.ndarray) -> list[tuple[int, int]]:
         """First and last window of each run of neighbouring windows."""
         places = np.sort(places)
@@ -99,16 +108,22 @@ class _Block:
 
 def _send(width: int, buckets: int):
     def run(key: tuple, rows: pa.Table) -> pa.Table:
-        distinct, _ = _Block(rows, width).windows()
+        block, number = _Block(rows, width), key[0].as_py()
+        distinct, first = block.windows()
         place = (distinct % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(place, kind="stable")
-        used, first = np.unique(place[order], return_index=True)
-        held = np.split(distinct[order], first[1:]) if len(used) else []
+        used, cuts = np.unique(place[order], return_index=True)
+
+        def dealt(values: np.ndarray) -> list[bytes]:
+            return [v.tobytes() for v in np.split(values[order], cuts[1:])] if len(used) else []
+
+        shared_id = number % (1 << PART_BITS) > 0
         return pa.table(
             {
                 "bucket": pa.array(used, pa.int32()),
-                "holder": pa.array(np.full(len(used), key[0].as_py(), np.int64)),
-                "hashes": pa.array([h.tobytes() for h in held], pa.binary()),
+                "holder": pa.array(np.full(len(used), number, np.int64)),
+                "hashes": pa.array(dealt(distinct), pa.binary()),
+                "starts": pa.array(dealt(block.in_text(first)) if shared_id else [None] * len(used), pa.binary()),
             }
         )
 
@@ -120,7 +135,12 @@ def _recurring(rows: pa.Table) -> pa.Table:
     blobs = rows.column("hashes").to_pylist()
     hashes = np.frombuffer(b"".join(blobs), np.uint64)
     holder = np.repeat(rows.column("holder").to_numpy(), [len(b) // 8 for b in blobs])
-    order = np.lexsort((holder, hashes))
+    starts = rows.column("starts").to_pylist()
+    if any(starts):  # parts of one id: the earliest start is first
+        start = np.frombuffer(b"".join([s or bytes(len(b)) for s, b in zip(starts, blobs, strict=True)]), np.int64)
+        order = np.lexsort((holder, start, holder >> PART_BITS, hashes))
+    else:
+        order = np.lexsort((holder, hashes))
     hashes, holder = hashes[order], holder[order]
     new = np.ones(len(hashes), bool)
     new[1:] = hashes[1:] != hashes[:-1]
@@ -266,6 +286,7 @@ def _locate(width: int):
                 "n_words": pa.array(count, pa.int64()),
                 "n_removed": pa.array(removed, pa.int64()),
                 "removed": pa.array(spans, pa.list_(pa.int64())),
+                "copies": rows.column("copies"),
             }
         )
 
@@ -273,29 +294,44 @@ def _locate(width: int):
 
 
 def blocks_of(docs: DataFrame, block_bytes: int, ranges: int = RANGES) -> tuple[DataFrame, int]:
-    """doc_id, text and block: blocks of consecutive ids whose numbers rise with the ids.
+    """doc_id, text, copies and block: blocks of consecutive ids whose numbers rise with the ids.
 
     At most ``ranges`` bounds, which hold a like number of rows each, go to the tasks; where there are to be
-    more blocks, every range is cut into equal stretches of ids.
+    more blocks, every range is cut into equal stretches of ids. An id that is two bounds or more at once is
+    shared by many rows: its equal texts become one row, with their number in ``copies``, and its rows are dealt
+    to parts by the hash of the text, as many as the bounds tell.
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MISSING_ID)).alias("doc_id"), "text")
     blocks = parts(text_bytes(rows), block_bytes)
     wide = min(blocks, ranges)
     cuts = parts(blocks, wide)
-    bounds = np.zeros(1, np.int64)
+    bounds, shared, shares_of = np.zeros(1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     if blocks > 1:
         shares = [k / wide for k in range(wide + 1)]
         found = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * wide)).alias("b")).first()["b"]
-        bounds = np.unique(np.array(found or [0], np.int64))
+        bounds, times = np.unique(np.array(found or [0], np.int64), return_counts=True)
+        shared, shares_of = bounds[times > 1], (times[times > 1] + 1) * cuts
+        # The ids behind a shared one begin a range of their own.
+        bounds = np.union1d(bounds, shared[shared < np.iinfo(np.int64).max] + 1)
 
     @F.pandas_udf("long")
     def block(ids: pd.Series) -> pd.Series:
         at = np.clip(np.searchsorted(bounds, ids.to_numpy(), side="right") - 1, 0, max(0, len(bounds) - 2))
         low, high = bounds[at].astype(float), bounds[np.minimum(at + 1, len(bounds) - 1)].astype(float)
         inside = np.floor((ids.to_numpy().astype(float) - low) / np.maximum(high - low, 1) * cuts)
-        return pd.Series(at * cuts + np.clip(inside, 0, cuts - 1).astype(np.int64))
+        return pd.Series((at * cuts + np.clip(inside, 0, cuts - 1).astype(np.int64)) << PART_BITS)
+
+    @F.pandas_udf("long")
+    def part(ids: pd.Series, keys: pd.Series) -> pd.Series:
+        return pd.Series(1 + keys.to_numpy() % shares_of[np.searchsorted(shared, ids.to_numpy())])
 
-    return rows.select("doc_id", "text", block("doc_id").alias("block")), blocks
+    if not len(shared):
+        return rows.select("doc_id", "text", F.lit(1).cast("long").alias("copies"), block("doc_id").alias("block")), blocks
+    mine = F.col("doc_id").isin(shared.tolist())
+    others = rows.where(~mine).select("doc_id", "text", F.lit(1).cast("long").alias("copies"), block("doc_id").alias("block"))
+    folded = settle(rows.where(mine).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("copies")), "shared_ids")
+    number = (block("doc_id") + part("doc_id", F.xxhash64("text"))).alias("block")
+    return others.unionByName(folded.select("doc_id", "text", "copies", number)), blocks
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_BYTES, ranges: int = RANGES) -> DataFrame:
@@ -307,12 +343,16 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOC
     that share an id are one document: none is earlier than the other at the same place. No rows give none.
     """
     rows, blocks = blocks_of(docs, block_bytes, ranges)
-    held = rows.groupBy("block").applyInArrow(_send(width, blocks), "bucket int, holder long, hashes binary")
+    held = rows.groupBy("block").applyInArrow(_send(width, blocks), "bucket int, holder long, hashes binary, starts binary")
     shared = held.groupBy("bucket").applyInArrow(_recurring, "source long, target long, hashes binary")
     passages = rows.groupBy("block").cogroup(shared.groupBy("source")).applyInArrow(
         _confirm(width), "targets array<long>, source_id long, source_start long, words binary"
     )
     passages = passages.select(F.explode("targets").alias("target"), "source_id", "source_start", "words")
-    return rows.groupBy("block").cogroup(passages.groupBy("target")).applyInArrow(
-        _locate(width), "doc_id long, text string, n_words long, n_removed long, removed array<long>"
+    found = rows.groupBy("block").cogroup(passages.groupBy("target")).applyInArrow(
+        _locate(width), "doc_id long, text string, n_words long, n_removed long, removed array<long>, copies long"
     )
+    # Rows that were folded come back one by one, some at a time, so that no array is large.
+    some = found.select("*", F.explode(F.expr(f"sequence(0L, (copies - 1) div {COPIES})")).alias("nth"))
+    many = F.expr(f"array_repeat(0, int(least({COPIES}L, copies - nth * {COPIES})))")
+    return some.select("*", F.explode(many)).select("doc_id", "text", "n_words", "n_removed", "removed")
