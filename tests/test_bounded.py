@@ -79,3 +79,16 @@ def test_streams_are_fed_what_they_use(spark, small, monkeypatch):
     assert [p.columns for p in fed["dedup"]] == [["event_id", "event_timestamp"]] * 3
     assert all(set(p.columns) == set(streams._MEASURED) for p in fed["distincts"])
     assert session.DEFAULTS["spark.sql.files.maxPartitionBytes"] == "16m"
+
+
+def test_line_files_do_not_grow_with_the_tasks_that_read(spark, small, monkeypatch, tmp_path):
+    """A micro-batch takes a few files, so files of a few rows would make many batches."""
+    real, lines = data.source, []
+    for tasks in (1, 40):
+        monkeypatch.setattr(data, "source", lambda s, f, n=tasks: real(s, f).repartition(n))
+        path = str(tmp_path / f"lines{tasks}")
+        ingest.raw_line_plan(spark, small).write.text(path)
+        written = spark.read.text(path)
+        lines.append(sorted(r[0] for r in written.collect()))
+        assert len(written.inputFiles()) <= 3 * 8
+    assert lines[0] == lines[1]
