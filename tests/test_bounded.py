@@ -92,3 +92,21 @@ def test_line_files_do_not_grow_with_the_tasks_that_read(spark, small, monkeypat
         lines.append(sorted(r[0] for r in written.collect()))
         assert len(written.inputFiles()) <= 3 * 8
     assert lines[0] == lines[1]
+
+
+def test_a_batch_is_merged_into_a_table_that_repeats_keys(spark, tmp_path, monkeypatch):
+    """The table's keys pass by those of the batch, and each known key counts once."""
+    table, sides = str(tmp_path / "table"), []
+    _rows(spark, ("a", 1), ("a", 2), ("b", 1)).write.partitionBy("event_date", "space_type").parquet(table)
+    real = type(spark.range(0)).join
+
+    def spy(self, other, on=None, how=None):
+        sides.append((other.inputFiles(), how))
+        return real(self, other, on, how)
+
+    monkeypatch.setattr(type(spark.range(0)), "join", spy)
+    tables.append_new(spark, table, _rows(spark, ("a", 9), ("c", 4)))
+    monkeypatch.undo()
+    assert sorted(tuple(r) for r in spark.read.parquet(table).select("event_id", "v").collect()) == [("a", 1), ("a", 2), ("b", 1), ("c", 4)]
+    semi = [folder for folder, how in sides if how == "left_semi"]
+    assert semi and not any(table in f for folder in semi for f in folder)
