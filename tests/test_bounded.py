@@ -94,6 +94,11 @@ def test_line_files_do_not_grow_with_the_tasks_that_read(spark, small, monkeypat
     assert lines[0] == lines[1]
 
 
+def test_documents_are_decoded_once_for_the_sequence(spark, small):
+    plan = ingest.raw_to_table(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "session_id" in plan and "from_json" not in plan.lower() and "json" not in plan.lower().replace("properties_json", "")
+
+
 def test_a_batch_is_merged_into_a_table_that_repeats_keys(spark, tmp_path, monkeypatch):
     """The table's keys pass by those of the batch, and each known key counts once."""
     table, sides = str(tmp_path / "table"), []
