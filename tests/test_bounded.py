@@ -115,3 +115,9 @@ def test_a_batch_is_merged_into_a_table_that_repeats_keys(spark, tmp_path, monke
     assert sorted(tuple(r) for r in spark.read.parquet(table).select("event_id", "v").collect()) == [("a", 1), ("a", 2), ("b", 1), ("c", 4)]
     semi = [folder for folder, how in sides if how == "left_semi"]
     assert semi and not any(table in f for folder in semi for f in folder)
+
+
+def test_a_record_is_decoded_once(spark):
+    lines = spark.createDataFrame([('{"a": 1}',)], "value string")
+    plan = decode_lines(lines)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("unbase64(") == 1 and plan.count("tryValidateUTF8String(") == 1
