@@ -2,9 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from test_raw import FLAT, NESTED, b64, record
+from tourlytics import jobs
+from tourlytics.sources import tables as sources
 from tourlytics.jobs import Tables, load_history, maintain, rebuild_sessions, refresh_marts, report_day
 from tourlytics.schemas import SPATIAL_ANALYTICS, WEB_EVENTS_ENRICHED
 
@@ -90,3 +93,44 @@ def test_a_later_archive_rewrites_the_days_of_its_sessions_only(spark, tmp_path)
         assert mine.exceptAll(wanted.select(*mine.columns)).isEmpty() and wanted.count() == mine.count() > 0
     load_history(spark, second, tables, ingest_time=processed)
     assert tables.read(spark, "web_events").count() == 17
+
+
+def tables_of(spark, tables):
+    names = ("web_events", "session_metrics_v2")
+    rows = {n: sorted(map(str, tables.read(spark, n).drop("processed_timestamp").collect())) for n in names}
+    return rows, {n: sorted(tables.read(spark, n).inputFiles()) for n in names}
+
+
+def test_an_archive_that_has_landed_rewrites_nothing(spark, tmp_path):
+    first = lines_of(tmp_path / "first", ("s1", 0), ("s1", 3), ("s2", 1))
+    second = lines_of(tmp_path / "second", ("s1", 3), ("s1", 5), ("s2", 1))
+    tables, processed = Tables(str(tmp_path / "t")), F.lit("2024-02-01 12:00:00").cast("timestamp")
+    load_history(spark, first, tables, ingest_time=processed)
+    before = tables_of(spark, tables)
+    load_history(spark, first, tables, ingest_time=processed)
+    assert tables_of(spark, tables) == before and len(before[0]["web_events"]) == 3
+    load_history(spark, second, tables, ingest_time=processed)  # some known, one new
+    assert tables.read(spark, "web_events").count() == 4 and not (tmp_path / "t" / "pending_sessions").exists()
+
+
+@pytest.mark.parametrize("dies", ["refresh_sessions", "write_events"])
+def test_any_later_load_mends_an_interrupted_one(spark, tmp_path, monkeypatch, dies):
+    first = lines_of(tmp_path / "first", ("s1", 0), ("s1", 3), ("s2", 1))
+    second = lines_of(tmp_path / "second", ("s1", 1), ("s3", 5))
+    tables, whole, processed = Tables(str(tmp_path / "t")), Tables(str(tmp_path / "w")), F.lit("2024-02-01 12:00:00").cast("timestamp")
+    load_history(spark, first, tables, ingest_time=processed)
+
+    def lost(*_, **__):
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(jobs if dies == "refresh_sessions" else sources, dies, lost)
+    with pytest.raises(RuntimeError):
+        load_history(spark, second, tables, ingest_time=processed)
+    monkeypatch.undo()
+    landed = dies == "refresh_sessions"
+    for archive in [first] if landed else [first, second]:
+        load_history(spark, archive, tables, ingest_time=processed)
+    for archive in (first, second):
+        load_history(spark, archive, whole, ingest_time=processed)
+    rebuild_sessions(spark, whole)
+    assert tables_of(spark, tables)[0] == tables_of(spark, whole)[0] and tables.read(spark, "web_events").count() == 5
