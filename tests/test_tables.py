@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -252,3 +253,43 @@ def test_restore_removes_foreign_partitions(spark, tmp_path):
     t.restore_partition(spark, backup, path, day)
     assert {r["event_id"] for r in spark.read.parquet(path).collect()} == {"a", "b"}
     assert parted(spark, path) == {("2024-01-05", "unit"), ("2024-01-05", "tour")}
+
+
+def test_copied_keys_follow_the_table(spark, tmp_path):
+    """Each file is opened once; what others write, drop or rewrite is seen; days that are no longer asked for go."""
+    path, read, real = str(tmp_path / "t"), [], t.read_folders
+
+    def events(*keys):
+        df = spark.createDataFrame([(k, d, s) for k, d, s in keys], "event_id string, d string, space_type string")
+        return df.select("event_id", F.to_date("d").alias("event_date"), "space_type")
+
+    def put(*keys):
+        t.write_events(events(*keys), path)
+
+    def found(first="2024-01-01", last="2024-01-31"):
+        keys = copy.read(spark, path, spark.read.parquet(path), ["event_id", "event_date"], first, last)
+        return sorted(r["event_id"] for r in keys.collect())
+
+    def spy(spark, path, files, schema):
+        read.extend(files)
+        return real(spark, path, files, schema)
+
+    copy = t.KeyCopy()
+    t.read_folders = spy
+    try:
+        put(("a", "2024-01-01", "unit"), ("b", "2024-01-02", "a b%*"))
+        assert found() == ["a", "b"] and not read
+        put(("c", "2024-01-02", "a b%*"), ("d", None, None))
+        assert found() == ["a", "b", "c", "d"] and len(read) == 2
+        assert found() == ["a", "b", "c", "d"] and len(read) == 2  # nothing new
+        put(*[(f"m{i:02}", f"2024-03-{i:02}", "unit") for i in range(1, 20)])
+        assert found() == ["a", "b", "c", "d"] and len(read) == 2  # other days
+        assert len(found("2024-01-01", "2024-03-31")) == 23
+        assert found("2024-03-02", "2024-03-03") == ["d", "m02", "m03"]  # the others have gone from the copy
+        shutil.rmtree(tmp_path / "t" / "event_date=2024-03-02")
+        assert found("2024-03-02", "2024-03-03") == ["d", "m03"]
+        t.append_new(spark, path, events(("m03", "2024-03-03", "unit"), ("n", "2024-03-03", "unit"), ("m02", "2024-03-02", "unit")), copy=copy)
+        t.append_new(spark, path, events(("n", "2024-03-03", "unit"), ("o", "2024-03-03", "unit")), copy=copy)
+        assert sorted(r[0] for r in spark.read.parquet(path).where("event_date between '2024-03-02' and '2024-03-03'").select("event_id").collect()) == ["m02", "m03", "n", "o"]
+    finally:
+        t.read_folders = real
